@@ -8,6 +8,8 @@ the greedy forms recurse and overflow the stack.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,14 +17,15 @@ _TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 _VALUE = r"""("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
 _ANY_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
 
+# Comments, scripts and style sheets; unclosed ones reach to the end.
 NOISE = (
-    r"(?s)<!--.*?(?:-->|\z)"
-    rf"|<script(?=[\s/>]){_TAG_REST}.*?(?:</script\s*+>|\z)"
-    rf"|<style(?=[\s/>]){_TAG_REST}.*?(?:</style\s*+>|\z)"
+    r"<(?:!--(?:[^-]++|-(?!->))*+(?:-->)?+"
+    rf"|script(?=[\s/>]){_TAG_REST}(?:[^<]++|<(?!/script\s*+>))*+(?:</script\s*+>)?+"
+    rf"|style(?=[\s/>]){_TAG_REST}(?:[^<]++|<(?!/style\s*+>))*+(?:</style\s*+>)?+)"
 )
 ANCHOR = rf"<a(?=[\s/>]){_TAG_REST}"
 META = rf"<meta(?=[\s/]){_TAG_REST}"
-BODY = rf"(?s)<body(?=[\s/>]){_TAG_REST}(.*?)(?:</body\s*+>|\z)"
+BODY = rf"<body(?=[\s/>]){_TAG_REST}((?:[^<]++|<(?!/body\s*+>))*+)"
 ANY_TAG = rf"</?[a-z!?]{_TAG_REST}"
 
 
@@ -65,16 +68,20 @@ def decode(value: Column) -> Column:
     return F.when(value.contains("&"), decoded).otherwise(value)
 
 
-def _attribute_value(raw: Column) -> Column:
-    """Unquoted, decoded attribute value; an absent attribute (``''``) is NULL."""
+def _unquoted(raw: Column) -> Column:
+    """Attribute value without its quotes; an absent attribute (``''``) is NULL."""
     quoted = raw.startswith('"') | raw.startswith("'")
-    bare = F.when(quoted, raw.substr(F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    return F.when(raw != "", decode(bare))
+    return F.when(quoted, raw.substr(F.lit(2), F.length(raw) - 2)).when(raw != "", raw)
 
 
 def hrefs(doc: Column) -> Column:
-    """All anchor targets in document order, duplicates kept."""
-    found = F.transform(F.regexp_extract_all(doc, F.lit(LINK), 1), _attribute_value)
+    """All anchor targets in document order, duplicates kept.
+
+    Extraction, unquoting and decoding are steps of their own, so each works on a
+    bound variable and nothing is evaluated twice.
+    """
+    raw = F.regexp_extract_all(doc, F.lit(LINK), 1)
+    found = F.transform(F.transform(raw, _unquoted), decode)
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
@@ -83,17 +90,22 @@ def anchor_count(doc: Column) -> Column:
     return F.coalesce(F.regexp_count(doc, F.lit(ANCHOR)), F.lit(0))
 
 
+_META_FIELDS = {"name": "name", "equiv": "http-equiv", "content": "content"}
+
+
 def metas(doc: Column) -> Column:
     """One struct (name, equiv, content) per meta tag, in document order."""
 
-    def fields(tag: Column) -> Column:
+    def each(step: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        return lambda m: F.struct(*[step(m[field]).alias(field) for field in _META_FIELDS])
+
+    def raw(tag: Column) -> Column:
         return F.struct(
-            _attribute_value(F.regexp_extract(tag, _attribute("meta", "name"), 1)).alias("name"),
-            _attribute_value(F.regexp_extract(tag, _attribute("meta", "http-equiv"), 1)).alias("equiv"),
-            _attribute_value(F.regexp_extract(tag, _attribute("meta", "content"), 1)).alias("content"),
+            *[F.regexp_extract(tag, _attribute("meta", attr), 1).alias(field) for field, attr in _META_FIELDS.items()]
         )
 
-    return F.transform(F.regexp_extract_all(doc, F.lit(META), 0), fields)
+    tags = F.regexp_extract_all(doc, F.lit(META), 0)
+    return F.transform(F.transform(F.transform(tags, raw), each(_unquoted)), each(decode))
 
 
 def meta_content(tags: Column, name: str) -> Column:
@@ -118,4 +130,4 @@ def meta_keywords(tags: Column) -> Column:
 def body_text(doc: Column) -> Column:
     """Visible text of the body, chunks joined by one space; NULL when empty."""
     spaced = F.regexp_replace(F.regexp_extract(doc, BODY, 1), ANY_TAG, " ")
-    return F.nullif(F.trim(F.regexp_replace(spaced, r"\s+", " ")), F.lit(""))
+    return F.nullif(F.trim(F.regexp_replace(spaced, r"\s++", " ")), F.lit(""))

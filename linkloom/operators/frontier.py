@@ -1,10 +1,11 @@
 """Depth-limited frontier expansion over (src, pos, dst) link edges.
 
-Each level is one equi-join of the frontier with the edges, aggregated by target
-before the shuffle and written to the shared folder, so the plan of a level never
-contains the levels before it. Popular targets are reduced map-side; sources with
-very many links are split by the adaptive skew join. The frontier is broadcast
-only when the planner finds its files small enough.
+The edges are stored once, bucketed by source (see ``edges``). Each level is one
+equi-join of the frontier with them, aggregated by target before the shuffle and
+written to the shared folder, so the plan of a level never contains the levels
+before it. Popular targets are reduced map-side; sources with very many links are
+sliced over several buckets. The frontier is broadcast only when the planner
+finds its files small enough.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkloom.operators.edges import store
 from linkloom.operators.ordering import with_position, with_running_sums
 from linkloom.session import materialize
 
@@ -33,13 +35,12 @@ def expand_all(seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
     number instead of repeated rows.
     """
     one = F.lit(1).cast("long")
+    stored = store(edges, ["dst"])
     level = materialize(seeds.groupBy("url").agg(F.sum(one).alias("n_jobs")), "frontier")
     levels = [_at_depth(level, 0)]
     for depth in range(1, max_depth + 1):
-        reached = level.join(edges.select("src", "dst"), level["url"] == F.col("src"))
-        level = materialize(
-            reached.groupBy(F.col("dst").alias("url")).agg(F.sum("n_jobs").alias("n_jobs")), "frontier"
-        )
+        reached = stored.reached_from(level).groupBy(F.col("dst").alias("url"))
+        level = materialize(reached.agg(F.sum("n_jobs").alias("n_jobs")), "frontier")
         if level.isEmpty():
             break
         levels.append(_at_depth(level, depth))
@@ -48,11 +49,11 @@ def expand_all(seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
 
 def expand_distinct(seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
     """Every url once, at its smallest depth: (link_depth, url)."""
+    stored = store(edges, ["dst"])
     level = materialize(seeds.select("url").distinct(), "frontier")
     levels = [level]
     for _ in range(max_depth):
-        reached = level.join(edges.select("src", "dst"), level["url"] == F.col("src"))
-        new = reached.select(F.col("dst").alias("url")).distinct()
+        new = stored.reached_from(level).select(F.col("dst").alias("url")).distinct()
         level = materialize(new.join(_union(levels), "url", "left_anti"), "frontier")
         if level.isEmpty():
             break
@@ -75,6 +76,7 @@ def expand_fifo(
     seeds = seeds.select("url", "position")
     if dedupe:
         seeds = with_position(seeds.groupBy("url").agg(F.min("position").alias("_p")), ["_p"]).drop("_p")
+    stored = store(edges, ["pos", "dst"])
     level = materialize(seeds.where(F.col("position") < max_jobs), "queue")
     levels, done = [_at_depth(level, 0)], 0
     degrees = None
@@ -85,7 +87,7 @@ def expand_fifo(
         if n == 0 or left <= 0:
             break
         if dedupe:
-            reached = level.withColumnRenamed("position", "_parent").join(edges, F.col("url") == F.col("src"))
+            reached = stored.reached_from(level.withColumnRenamed("position", "_parent"))
             first = reached.groupBy(F.col("dst").alias("url")).agg(
                 F.min(F.struct("_parent", "pos")).alias("_key")
             )
@@ -95,16 +97,14 @@ def expand_fifo(
         else:
             if degrees is None:
                 degrees = materialize(
-                    edges.groupBy(F.col("src").alias("url")).agg(F.count("*").alias("_links")), "degrees"
+                    stored.table.groupBy(F.col("src").alias("url")).agg(F.count("*").alias("_links")), "degrees"
                 )
             parents = with_running_sums(
                 level.join(degrees, "url").withColumn("_all", F.lit(0)), ["_all"], ["position"], {"_upto": "_links"}
             )
             parents = parents.select("url", (F.col("_upto") - F.col("_links")).alias("_before"))
-            children = (
-                parents.where(F.col("_before") < left)
-                .join(edges, F.col("url") == F.col("src"))
-                .select(F.col("dst").alias("url"), (F.col("_before") + F.col("pos")).alias("position"))
+            children = stored.reached_from(parents.where(F.col("_before") < left)).select(
+                F.col("dst").alias("url"), (F.col("_before") + F.col("pos")).alias("position")
             )
         level = materialize(children.where(F.col("position") < left), "queue")
         levels.append(_at_depth(level.withColumn("position", F.col("position") + done), depth))

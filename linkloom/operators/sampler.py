@@ -28,7 +28,7 @@ FOLD_LIMIT = 50_000
 SECOND = 1_000_000
 # Bucket widths of the look-up for "first tick at or after". A bucket holds at
 # most as many ticks as the width has microseconds (or finer buckets).
-_WIDTHS = [SECOND, 3_600 * SECOND, 8_760 * 3_600 * SECOND]
+_WIDTHS = [SECOND, 3_600 * SECOND]
 _SLOT_CHUNK = 100_000
 
 
@@ -48,9 +48,12 @@ def samples(tick_rows: DataFrame, rate_seconds: float, fold_limit: int = FOLD_LI
     sizes = tick_rows.groupBy("worker").agg(F.count("*").alias("_ticks"), F.min("t").alias("start"))
     busy = materialize(sizes.where(F.col("_ticks") > fold_limit).drop("_ticks"), "busy-workers")
     if busy.isEmpty():
-        return _fold(tick_rows, rate)
-    calm = tick_rows.join(busy.select("worker"), "worker", "left_anti")
-    return _fold(calm, rate).unionByName(_chain(tick_rows.join(busy, "worker"), busy, rate))
+        found = _fold(tick_rows, rate)
+    else:
+        calm = tick_rows.join(busy.select("worker"), "worker", "left_anti")
+        found = _fold(calm, rate).unionByName(_chain(tick_rows.join(busy, "worker"), busy, rate))
+    # Stored, as every report reads the samples more than once.
+    return materialize(found, "samples")
 
 
 def _fold(tick_rows: DataFrame, rate: int) -> DataFrame:

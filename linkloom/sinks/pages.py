@@ -22,14 +22,15 @@ def first_writes(rows: DataFrame, order_by: list[str], stored: DataFrame | None
     """One row per page_url: the earliest one, unless the key is stored already.
 
     The earliest row is an aggregate, so repeats of a popular url are dropped
-    before the shuffle. ``stored`` is read for its key column only.
+    before the shuffle; the anti join then meets each key once, on the partitioning
+    the aggregate left behind. ``stored`` is read for its key column only.
     """
-    if stored is not None:
-        rows = rows.join(stored.select("page_url"), "page_url", "left_anti")
     fields = [c for c in PAGE_COLUMNS if c != "page_url"]
     first = rows.groupBy("page_url").agg(
         F.min_by(F.struct(*fields), F.struct(*order_by)).alias("_first")
     )
+    if stored is not None:
+        first = first.join(stored.select("page_url"), "page_url", "left_anti")
     return first.select("page_url", *[f"_first.{c}" for c in fields])
 
 
