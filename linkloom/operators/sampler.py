@@ -25,6 +25,7 @@ from linkloom.functions.times import from_micros, micros
 from linkloom.session import materialize
 
 FOLD_LIMIT = 50_000
+_FOLD_BLOCK = 256
 SECOND = 1_000_000
 # Bucket widths of the look-up for "first tick at or after". A bucket holds at
 # most as many ticks as the width has microseconds (or finer buckets).
@@ -90,8 +91,25 @@ def _fold(tick_rows: DataFrame, rate: int) -> DataFrame:
         rest = sample(state, state["acc"], F.lit(1).cast("long"), True)
         return F.concat(state["done"], F.array(rest))
 
+    def block(state: Column, start: Column) -> Column:
+        """Fold one block; appending per block keeps array copies short."""
+        resumed = F.struct(
+            state["last"].alias("last"), state["acc"].alias("acc"), state["idx"].alias("idx"), nothing.alias("done")
+        )
+
+        def joined(inner: Column) -> Column:
+            return F.struct(
+                inner["last"].alias("last"),
+                inner["acc"].alias("acc"),
+                inner["idx"].alias("idx"),
+                F.concat(state["done"], inner["done"]).alias("done"),
+            )
+
+        return F.aggregate(F.slice("_ticks", start, _FOLD_BLOCK), resumed, step, joined)
+
+    starts = F.sequence(F.lit(1), F.size("_ticks"), F.lit(_FOLD_BLOCK))
     folded = ordered.select(
-        "worker", start.alias("start"), F.aggregate("_ticks", begin, step, finish).alias("_samples")
+        "worker", start.alias("start"), F.aggregate(starts, begin, block, finish).alias("_samples")
     )
     return folded.select("worker", "start", F.inline("_samples"))
 
