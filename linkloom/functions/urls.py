@@ -69,4 +69,4 @@ def resolve(link: Column, page_url: Column) -> Column:
     """Make a root-relative link absolute with the origin of its page."""
     rooted = link.startswith("/") & ~link.startswith("//")
     origin = F.nullif(F.regexp_extract(page_url, ORIGIN, 1), F.lit(""))
-    return F.when(rooted & origin.isNotNull(), F.concat(origin, link)).otherwise(link)
+    return F.coalesce(F.when(rooted, F.concat(origin, link)), link)

@@ -15,11 +15,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.operators.edges import store
+from linkloom.operators.edges import StoredEdges, store
 from linkloom.operators.ordering import with_position, with_running_sums
 from linkloom.session import materialize
 
 
+# A url queued more often than this is joined with a broadcast of its links.
+REPEAT_LIMIT = 1_000_000
+
+
 def _union(levels: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, levels)
 
@@ -62,55 +66,77 @@ def expand_distinct(seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataF
 
 
 def expand_fifo(
-    seeds: DataFrame, edges: DataFrame, max_depth: int, max_jobs: int, dedupe: bool = False
+    seeds: DataFrame,
+    edges: DataFrame,
+    max_depth: int,
+    max_jobs: int,
+    dedupe: bool = False,
+    repeat_limit: int = REPEAT_LIMIT,
 ) -> DataFrame:
     """The first ``max_jobs`` jobs in queue order: (position, link_depth, url).
 
     Queue order is (depth, position of the parent, position of the link). Seeds
-    need ``position`` and edges a dense ``pos`` per source, both from 0. Without
-    ``dedupe`` a child's position is arithmetic: the links of all earlier parents
-    plus ``pos``, so parents beyond the budget are cut before the join.
+    need ``position`` and edges a dense ``pos`` per source, both from 0. The rank
+    of a child is arithmetic: the links of all earlier parents plus ``pos``.
+    Without ``dedupe`` that is its position, so parents beyond the budget are cut
+    before the join; with it, the first rank of each new url is numbered again.
     """
     if max_jobs < 1:
         raise ValueError("an unlimited crawl is expand_all or expand_distinct")
     seeds = seeds.select("url", "position")
     if dedupe:
-        seeds = with_position(seeds.groupBy("url").agg(F.min("position").alias("_p")), ["_p"]).drop("_p")
+        seeds = _first_of_each(seeds)
     stored = store(edges, ["pos", "dst"])
+    degrees = materialize(stored.table.groupBy(F.col("src").alias("url")).agg(F.count("*").alias("_links")), "degrees")
     level = materialize(seeds.where(F.col("position") < max_jobs), "queue")
     levels, done = [_at_depth(level, 0)], 0
-    degrees = None
     for depth in range(1, max_depth + 1):
         n = level.count()
         done += n
         left = max_jobs - done
         if n == 0 or left <= 0:
             break
+        parents = with_running_sums(
+            level.join(degrees, "url").withColumn("_all", F.lit(0)), ["_all"], ["position"], {"_upto": "_links"}
+        ).select("url", (F.col("_upto") - F.col("_links")).alias("_before"))
         if dedupe:
-            reached = stored.reached_from(level.withColumnRenamed("position", "_parent"))
-            first = reached.groupBy(F.col("dst").alias("url")).agg(
-                F.min(F.struct("_parent", "pos")).alias("_key")
-            )
-            seen = _union([found.select("url") for found in levels])
-            new = first.join(seen, "url", "left_anti").select("url", "_key.*")
-            children = with_position(new, ["_parent", "pos"]).select("url", "position")
+            reached = stored.reached_from(parents)
         else:
-            if degrees is None:
-                degrees = materialize(
-                    stored.table.groupBy(F.col("src").alias("url")).agg(F.count("*").alias("_links")), "degrees"
-                )
-            parents = with_running_sums(
-                level.join(degrees, "url").withColumn("_all", F.lit(0)), ["_all"], ["position"], {"_upto": "_links"}
-            )
-            parents = parents.select("url", (F.col("_upto") - F.col("_links")).alias("_before"))
-            children = stored.reached_from(parents.where(F.col("_before") < left)).select(
-                F.col("dst").alias("url"), (F.col("_before") + F.col("pos")).alias("position")
-            )
+            reached = _reached_with_repeats(stored, parents.where(F.col("_before") < left), repeat_limit)
+        children = reached.select(F.col("dst").alias("url"), (F.col("_before") + F.col("pos")).alias("position"))
+        if dedupe:
+            children = _first_of_each(children, seen=_union([found.select("url") for found in levels]))
         level = materialize(children.where(F.col("position") < left), "queue")
         levels.append(_at_depth(level.withColumn("position", F.col("position") + done), depth))
     return _union(levels).select("position", "link_depth", "url")
 
 
+def _reached_with_repeats(stored: StoredEdges, parents: DataFrame, repeat_limit: int) -> DataFrame:
+    """Links of parents that may hold the same url many times.
+
+    All parents but the last together have no more links than the budget allows,
+    so the urls above the limit have at most budget / limit distinct links: few
+    enough to broadcast, and their parents stay where they are.
+    """
+    parents = materialize(parents, "parents")
+    repeats = parents.groupBy("url").agg(F.count("*").alias("_n")).where(F.col("_n") > repeat_limit).select("url")
+    repeats = materialize(repeats, "repeats")
+    if repeats.isEmpty():
+        return stored.reached_from(parents)
+    links = materialize(stored.reached_from(repeats), "repeated-links")
+    often = parents.join(F.broadcast(links), "url")
+    once = stored.reached_from(parents.join(F.broadcast(repeats), "url", "left_anti"))
+    return often.select("_before", "pos", "dst").unionByName(once.select("_before", "pos", "dst"))
+
+
+def _first_of_each(queued: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Each url that was not seen, once, in the order of its first position."""
+    first = queued.groupBy("url").agg(F.min("position").alias("_first"))
+    if seen is not None:
+        first = first.join(seen, "url", "left_anti")
+    return with_position(first, ["_first"]).drop("_first")
+
+
 def visited(seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
     """Set of (link_depth, url) a depth-first crawl visits; order aside, the same
     set as that of a breadth-first crawl."""

@@ -46,7 +46,23 @@ def links(pages: DataFrame, keep: list[str], rule: str | None = None) -> DataFra
     """
     found = with_links(pages, keep)
     kept = F.col("links") if rule is None else U.prune(F.col("links"), rule)
-    return found.select(*keep, F.posexplode(kept).alias("pos", "href"))
+    return _exploded(found, keep, kept, "href")
+
+
+def keywords(pages: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per keyword (keep..., pos, keyword)."""
+    tagged = _documents(pages, keep).select(*keep, H.metas(F.col("_doc")).alias("_metas"))
+    return _exploded(tagged, keep, H.meta_keywords(F.col("_metas")), "keyword")
+
+
+def _exploded(rows: DataFrame, keep: list[str], items: Column, name: str) -> DataFrame:
+    """One row per array element.
+
+    An inner explode makes the optimizer test the array for emptiness first, which
+    would run the regular expressions of ``items`` a second time; the outer form
+    does not, and its rows for empty arrays are dropped.
+    """
+    return rows.select(*keep, F.posexplode_outer(items).alias("pos", name)).where("pos is not null")
 
 
 def link_counts(pages: DataFrame, keep: list[str], rule: str = "http") -> DataFrame:

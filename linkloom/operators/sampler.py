@@ -111,7 +111,8 @@ def _fold(tick_rows: DataFrame, rate: int) -> DataFrame:
     folded = ordered.select(
         "worker", start.alias("start"), F.aggregate(starts, begin, block, finish).alias("_samples")
     )
-    return folded.select("worker", "start", F.inline("_samples"))
+    # The inner form would fold twice: once to test for emptiness.
+    return folded.select("worker", "start", F.inline_outer("_samples")).where("idx is not null")
 
 
 def _first_at_or_after(points: DataFrame, queries: DataFrame, widths: list[int]) -> DataFrame:

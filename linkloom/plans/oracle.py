@@ -399,6 +399,12 @@ ORACLE: dict[str, str] = {
     "throughput_csv_raw": _with(_SAMPLES, recursive=True)
     + f"select bucket * {DAY} as time_s, jobs as throughput_jobs from total",
     "page_table": _with(_ROWS) + _PAGE_TABLE,
+    "page_table_routed": _with(_ROWS)
+    + """select "database", page_table, page_url, title, author, charset, keywords, description, body_text from (
+          select s.*, concat('db_', n.n_regionkey) as "database", concat(lower(n.n_name), '_pages') as page_table,
+            row_number() over (partition by n.n_name, page_url order by page_id) as nth
+          from stored s join nation n on n.n_name = concat('NATION_', s.page_id % 30) where origin = 'document'
+        ) where nth = 1""",
     "site_link_table": _with(_WEB)
     + f"""select {_site('src')} as site, replace({_site('src')}, '.', '_') as site_table, {_site('dst')} as link_to,
           count(*) as n_links from web group by all""",

@@ -83,18 +83,21 @@ def job_log(spark, sf_dir):
     return joblog.job_log(rows, F.col("user_id"), F.col("url"), F.col("ts"), P.link_total("raw"))
 
 
-@query
-def access_lookup(spark, sf_dir):
+def _routed(spark: SparkSession, sf_dir: str, pages: DataFrame) -> DataFrame:
+    """Pages sent by thirty senders, twenty-five of which are on the access list."""
     nation = I.table(spark, sf_dir, "nation")
     listed = nation.select(
         F.col("n_name").alias("auth_name"),
         F.concat(F.lit("db_"), F.col("n_regionkey").cast("string")).alias("database"),
         F.concat(F.lower("n_name"), F.lit("_pages")).alias("page_table"),
     )
-    # Thirty senders, twenty-five of them listed.
     sender = F.concat(F.lit("NATION_"), (F.col("page_id") % 30).cast("string"))
-    submissions = I.pages(spark, sf_dir).select("page_id", "url", sender.alias("auth_name"))
-    return access.route(submissions, listed)
+    return access.route(pages.withColumn("auth_name", sender), listed)
+
+
+@query
+def access_lookup(spark, sf_dir):
+    return _routed(spark, sf_dir, I.pages(spark, sf_dir).select("page_id", "url"))
 
 
 # --- page extraction ---------------------------------------------------------
@@ -112,10 +115,8 @@ def _parsed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 @query
 def page_keywords(spark, sf_dir):
-    found = _parsed(spark, sf_dir, "keywords")
-    return found.select("origin", "page_id", F.posexplode("keywords").alias("pos", "keyword")).withColumn(
-        "pos", F.col("pos").cast("long")
-    )
+    found = P.keywords(I.all_pages(spark, sf_dir), ["origin", "page_id"])
+    return found.withColumn("pos", F.col("pos").cast("long"))
 
 
 @query
@@ -456,6 +457,17 @@ def page_table(spark, sf_dir):
     return page_sink.read_pages(spark, path)
 
 
+@query
+def page_table_routed(spark, sf_dir):
+    path = new_path(spark, "routed-pages")
+    targets = ["database", "page_table"]
+    submitted = _routed(spark, sf_dir, I.document_pages(spark, sf_dir))
+    parsed = P.parse(submitted, ["url", "page_id", *targets])
+    rows = page_sink.page_rows(parsed, keep=["page_id", *targets])
+    page_sink.append_pages(rows, ["page_id"], path, 0, targets)
+    return page_sink.read_pages(spark, path)
+
+
 @query
 def site_link_table(spark, sf_dir):
     path = new_path(spark, "site-links")

@@ -15,6 +15,8 @@ def pin_settings(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Split a hot join key even where the next operator then needs a shuffle.
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     return spark
 
@@ -36,9 +38,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def _run_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/linkloom-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in this application's part of the shared folder, never used before."""
+    return f"{_run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables once their results are saved."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

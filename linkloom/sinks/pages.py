@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from linkloom.operators.records import clip_columns
 from linkloom.schemas import PARSED_COLUMNS, PARSED_PAGE
@@ -18,20 +18,23 @@ def page_rows(parsed: DataFrame, key: str = "url", keep: list[str] | None = None
     return clip_columns(rows.select(*(keep or []), *PAGE_COLUMNS))
 
 
-def first_writes(rows: DataFrame, order_by: list[str], stored: DataFrame | None = None) -> DataFrame:
+def first_writes(
+    rows: DataFrame, order_by: list[str], stored: DataFrame | None = None, targets: list[str] | None = None
+) -> DataFrame:
     """One row per page_url: the earliest one, unless the key is stored already.
 
-    The earliest row is an aggregate, so repeats of a popular url are dropped
-    before the shuffle; the anti join then meets each key once, on the partitioning
-    the aggregate left behind. ``stored`` is read for its key column only.
+    With ``targets`` (the columns a submission is routed by) every target table has
+    keys of its own. The earliest row is an aggregate, so repeats of a popular url
+    are dropped before the shuffle; the anti join then meets each key once, on the
+    partitioning the aggregate left behind. ``stored`` is read for its keys only.
     """
+    keys = [*(targets or []), "page_url"]
     fields = [c for c in PAGE_COLUMNS if c != "page_url"]
-    first = rows.groupBy("page_url").agg(
-        F.min_by(F.struct(*fields), F.struct(*order_by)).alias("_first")
-    )
+    first = rows.groupBy(*keys).agg(F.min_by(F.struct(*fields), F.struct(*order_by)).alias("_first"))
     if stored is not None:
-        first = first.join(stored.select("page_url"), "page_url", "left_anti")
-    return first.select("page_url", *[f"_first.{c}" for c in fields])
+        known = stored.select(*[F.col(k).cast("string").alias(k) for k in keys])
+        first = first.join(known, keys, "left_anti")
+    return first.select(*keys, *[f"_first.{c}" for c in fields])
 
 
 def _stored(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
@@ -44,10 +47,15 @@ def _stored(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
         raise
 
 
-def append_pages(rows: DataFrame, order_by: list[str], path: str, batch_id: int) -> None:
-    """Append new pages under ``path/batch_id=N``; repeating a batch replaces it."""
-    new = first_writes(rows, order_by, _stored(rows.sparkSession, path, batch_id))
-    new.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def append_pages(
+    rows: DataFrame, order_by: list[str], path: str, batch_id: int, targets: list[str] | None = None
+) -> None:
+    """Append new pages under ``path/batch_id=N``; repeating a batch replaces it.
+
+    ``targets`` become folders below the batch, one per target table.
+    """
+    new = first_writes(rows, order_by, _stored(rows.sparkSession, path, batch_id), targets)
+    new.write.mode("overwrite").partitionBy(*(targets or [])).parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

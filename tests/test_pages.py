@@ -124,6 +124,9 @@ def test_regular_expressions_run_once(spark):
     plan = P.parse(pages(spark, META), ["page_id"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("<(?:!--") == 1
     assert plan.count("<meta(?=[\\s/])(?:[^>") == 1
+    for exploded in (P.links(pages(spark, META), ["page_id"]), P.keywords(pages(spark, META), ["page_id"])):
+        plan = exploded._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("<(?:!--") == 1
 
 
 def test_links_read_two_columns(spark, tmp_path):

@@ -1,6 +1,8 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from linkloom import session
 from linkloom.functions import times as T
 from linkloom.operators import graph as G
 from linkloom.operators import pages as P
@@ -30,6 +32,28 @@ def test_first_write_wins(spark, tmp_path):
         assert got == {("u1", "old"), ("u2", "early")}
 
 
+def test_targets_have_their_own_keys(spark, tmp_path):
+    path = f"file://{tmp_path}/pages"
+    rows = stored_rows(spark, [("u1", 0, "a"), ("u1", 1, "b"), ("u1", 2, "c")]).withColumn(
+        "database", F.when(F.col("t") == 1, "y").otherwise("x")
+    )
+    page_sink.append_pages(rows, ["t"], path, 0, ["database"])
+    page_sink.append_pages(rows, ["t"], path, 1, ["database"])
+    got = {(r.database, r.page_url, r.title) for r in page_sink.read_pages(spark, path).collect()}
+    assert got == {("x", "u1", "a"), ("y", "u1", "b")}
+
+
+def test_release_deletes_only_this_run(spark, tmp_path):
+    kept = spark.range(3)
+    kept.write.parquet(f"file://{tmp_path}/kept")
+    stored = session.materialize(kept, "x")
+    assert stored.count() == 3
+    session.release(spark)
+    assert spark.read.parquet(f"file://{tmp_path}/kept").count() == 3
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(stored.inputFiles()[0]).count()
+
+
 def test_first_writes_shuffle_once(spark, tmp_path):
     path = f"file://{tmp_path}/pages"
     page_sink.append_pages(stored_rows(spark, [("u1", 0, "old")]), ["t"], path, 0)
