@@ -26,7 +26,8 @@ NOISE = (
 ANCHOR = rf"<a(?=[\s/>]){_TAG_REST}"
 META = rf"<meta(?=[\s/]){_TAG_REST}"
 BODY = rf"<body(?=[\s/>]){_TAG_REST}((?:[^<]++|<(?!/body\s*+>))*+)"
-ANY_TAG = rf"</?[a-z!?]{_TAG_REST}"
+# A run of tags and white space.
+GAP = rf"(?:\s++|</?[a-z!?]{_TAG_REST})++"
 
 
 def _attribute(tag: str, name: str) -> str:
@@ -129,5 +130,5 @@ def meta_keywords(tags: Column) -> Column:
 
 def body_text(doc: Column) -> Column:
     """Visible text of the body, chunks joined by one space; NULL when empty."""
-    spaced = F.regexp_replace(F.regexp_extract(doc, BODY, 1), ANY_TAG, " ")
-    return F.nullif(F.trim(F.regexp_replace(spaced, r"\s++", " ")), F.lit(""))
+    spaced = F.regexp_replace(F.regexp_extract(doc, BODY, 1), GAP, " ")
+    return F.nullif(F.trim(spaced), F.lit(""))

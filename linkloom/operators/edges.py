@@ -1,4 +1,4 @@
-"""Link edges stored once for repeated joins on their source."""
+"""Link edges for joins on their source, stored once when joined repeatedly."""
 
 from __future__ import annotations
 
@@ -11,6 +11,20 @@ from pyspark.sql import functions as F
 from linkloom.session import materialize, new_path
 
 
+@dataclass(frozen=True)
+class LooseEdges:
+    """Edges as they are, for a single join; hot sources are left to the adaptive
+    planner, which can split them as both sides are shuffled."""
+
+    table: DataFrame
+
+    def reached_from(self, frontier: DataFrame) -> DataFrame:
+        return frontier.join(self.table.withColumnRenamed("src", "url"), "url")
+
+    def forget(self) -> None:
+        """Nothing was stored."""
+
+
 @dataclass(frozen=True)
 class StoredEdges:
     """Edges bucketed by (src, slice), so joining them needs no shuffle of edges.
@@ -41,6 +55,11 @@ class StoredEdges:
         self.table.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
+def for_joins(edges: DataFrame, columns: list[str], joins: int) -> LooseEdges | StoredEdges:
+    """Edges for a number of joins: storing them pays from the second one on."""
+    return store(edges, columns) if joins > 1 else LooseEdges(edges.select("src", *columns))
+
+
 def store(edges: DataFrame, columns: list[str]) -> StoredEdges:
     """Write (src, columns...) bucketed by source.
 

@@ -1,11 +1,11 @@
 """Depth-limited frontier expansion over (src, pos, dst) link edges.
 
-The edges are stored once, bucketed by source (see ``edges``). Each level is one
-equi-join of the frontier with them, aggregated by target before the shuffle and
-written to the shared folder, so the plan of a level never contains the levels
-before it. Popular targets are reduced map-side; sources with very many links are
-sliced over several buckets. The frontier is broadcast only when the planner
-finds its files small enough.
+Beyond one level the edges are stored, bucketed by source (see ``edges``). Each
+level is one equi-join of the frontier with them, aggregated by target before the
+shuffle and written to the shared folder, so the plan of a level never contains
+the levels before it. Popular targets are reduced map-side; sources with very many
+links are sliced over several buckets. The frontier is broadcast only when the
+planner finds its files small enough.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.operators.edges import StoredEdges, store
+from linkloom.operators.edges import StoredEdges, for_joins, store
 from linkloom.operators.ordering import with_position, with_running_sums
 from linkloom.session import materialize
 
@@ -39,29 +39,31 @@ def expand_all(seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
     number instead of repeated rows.
     """
     one = F.lit(1).cast("long")
-    stored = store(edges, ["dst"])
+    links = for_joins(edges, ["dst"], max_depth)
     level = materialize(seeds.groupBy("url").agg(F.sum(one).alias("n_jobs")), "frontier")
     levels = [_at_depth(level, 0)]
     for depth in range(1, max_depth + 1):
-        reached = stored.reached_from(level).groupBy(F.col("dst").alias("url"))
+        reached = links.reached_from(level).groupBy(F.col("dst").alias("url"))
         level = materialize(reached.agg(F.sum("n_jobs").alias("n_jobs")), "frontier")
         if level.isEmpty():
             break
         levels.append(_at_depth(level, depth))
+    links.forget()
     return _union(levels)
 
 
 def expand_distinct(seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
     """Every url once, at its smallest depth: (link_depth, url)."""
-    stored = store(edges, ["dst"])
+    links = for_joins(edges, ["dst"], max_depth)
     level = materialize(seeds.select("url").distinct(), "frontier")
     levels = [level]
     for _ in range(max_depth):
-        new = stored.reached_from(level).select(F.col("dst").alias("url")).distinct()
+        new = links.reached_from(level).select(F.col("dst").alias("url")).distinct()
         level = materialize(new.join(_union(levels), "url", "left_anti"), "frontier")
         if level.isEmpty():
             break
         levels.append(level)
+    links.forget()
     return _union([_at_depth(found, depth) for depth, found in enumerate(levels)])
 
 
@@ -108,6 +110,7 @@ def expand_fifo(
             children = _first_of_each(children, seen=_union([found.select("url") for found in levels]))
         level = materialize(children.where(F.col("position") < left), "queue")
         levels.append(_at_depth(level.withColumn("position", F.col("position") + done), depth))
+    stored.forget()
     return _union(levels).select("position", "link_depth", "url")
 
 

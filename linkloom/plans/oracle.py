@@ -429,6 +429,17 @@ ORACLE: dict[str, str] = {
           select *, row_number() over (partition by page_url order by page_id) as nth
           from stored where origin = 'crawl') where nth = 1""",
     "stream_totals": """select count(*) as n_processed, sum((props->>'$.k')::bigint)::bigint as n_discovered from events""",
+    "crawl_summary": _with(_WEB, _REAL)
+    + """, every as (
+          select 0 as link_depth, url from pages
+          union all select 1, dst from real_links where dst ilike 'http%'
+        ), per_page as (
+          select p.url, count(l.dst) as n_links, count(l.dst) filter (where l.dst ilike 'http%') as n_pruned
+          from pages p left join real_links l on l.src = p.url group by p.url
+        )
+        select e.link_depth, count(*) as n_jobs, count(p.url) as n_fetched,
+          coalesce(sum(p.n_links), 0)::bigint as n_links, coalesce(sum(p.n_pruned), 0)::bigint as n_pruned
+        from every e left join per_page p on p.url = e.url group by e.link_depth""",
     "stage_chain": _with(_ALL_PAGES)
     + f"""select {_domain('href')} as domain, count(*) as n_links from (
           select case when left(href, 1) = '/' and left(href, 2) <> '//'

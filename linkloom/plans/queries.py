@@ -19,6 +19,7 @@ from linkloom.operators import sampler as S
 from linkloom.operators import series as SE
 from linkloom.operators import workers as W
 from linkloom.plans import inputs as I
+from linkloom.plans.crawl import crawl
 from linkloom.plans.stages import run_stages
 from linkloom.session import new_path
 from linkloom.sinks import links as link_sink
@@ -555,7 +556,15 @@ def stream_totals(spark, sf_dir):
     return ST.read_totals(spark, path)
 
 
-# --- stages ------------------------------------------------------------------
+# --- whole crawls and stages ------------------------------------------------------------------
+
+
+@query
+def crawl_summary(spark, sf_dir):
+    """Every crawled page is a seed; its links, made absolute, are followed once."""
+    table = I.pages(spark, sf_dir)
+    done = crawl(table.select("url"), table, 1, dedupe=False, rule="any_http", resolve_links=True)
+    return done.depth_summary()
 
 
 @query

@@ -13,7 +13,7 @@ def url_list(spark: SparkSession, path: str) -> DataFrame:
     keeps its lines in order, so line numbers need the line count of each split
     only; no task sees more than one split.
     """
-    lines = spark.read.text(path).select(
+    lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("value").alias("url"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
