@@ -26,8 +26,9 @@ NOISE = (
 ANCHOR = rf"<a(?=[\s/>]){_TAG_REST}"
 META = rf"<meta(?=[\s/]){_TAG_REST}"
 BODY = rf"<body(?=[\s/>]){_TAG_REST}((?:[^<]++|<(?!/body\s*+>))*+)"
-# A run of tags and white space.
-GAP = rf"(?:\s++|</?[a-z!?]{_TAG_REST})++"
+ANY_TAG = rf"</?[a-z!?]{_TAG_REST}"
+# White space that is not a single blank already.
+WIDE_SPACE = r"\s\s++|[\t\n\x0B\f\r]"
 
 
 def _attribute(tag: str, name: str) -> str:
@@ -130,5 +131,5 @@ def meta_keywords(tags: Column) -> Column:
 
 def body_text(doc: Column) -> Column:
     """Visible text of the body, chunks joined by one space; NULL when empty."""
-    spaced = F.regexp_replace(F.regexp_extract(doc, BODY, 1), GAP, " ")
-    return F.nullif(F.trim(spaced), F.lit(""))
+    spaced = F.regexp_replace(F.regexp_extract(doc, BODY, 1), ANY_TAG, " ")
+    return F.nullif(F.trim(F.regexp_replace(spaced, WIDE_SPACE, " ")), F.lit(""))

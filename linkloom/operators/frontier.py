@@ -101,10 +101,12 @@ def expand_fifo(
         parents = with_running_sums(
             level.join(degrees, "url").withColumn("_all", F.lit(0)), ["_all"], ["position"], {"_upto": "_links"}
         ).select("url", (F.col("_upto") - F.col("_links")).alias("_before"))
-        if dedupe:
+        if not dedupe:
+            parents = parents.where(F.col("_before") < left)
+        if dedupe or n <= repeat_limit:
             reached = stored.reached_from(parents)
         else:
-            reached = _reached_with_repeats(stored, parents.where(F.col("_before") < left), repeat_limit)
+            reached = _reached_with_repeats(stored, parents, repeat_limit)
         children = reached.select(F.col("dst").alias("url"), (F.col("_before") + F.col("pos")).alias("position"))
         if dedupe:
             children = _first_of_each(children, seen=_union([found.select("url") for found in levels]))
