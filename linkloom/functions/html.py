@@ -1,9 +1,11 @@
 """HTML expressions: one lower-cased, cleaned document per page, then regular
 expressions over it.
 
-Every repeated group that contains an alternation is possessive. Java runs
-those in a loop, so tags of any length and any number of attributes are safe;
-the greedy forms recurse and overflow the stack.
+Every extraction walks the tags one after the other: its pattern takes either the
+tag it looks for or any other tag, so what stands inside a quoted value is never
+taken for a tag. Repeated groups are possessive. Java runs those in a loop, where
+greedy ones recurse and overflow the stack, and a tag without an end takes the rest
+of the document once, so the time is linear in the page, whatever it holds.
 """
 
 from __future__ import annotations
@@ -13,35 +15,41 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-_VALUE = r"""("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
-_ANY_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+# What follows a tag's name, up to its end; quotes count after an equals sign only.
+_INSIDE = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]++)"""
 
-# Comments, scripts and style sheets; unclosed ones reach to the end.
-NOISE = (
-    r"<(?:!--(?:[^-]++|-(?!->))*+(?:-->)?+"
-    rf"|script(?=[\s/>]){_TAG_REST}(?:[^<]++|<(?!/script\s*+>))*+(?:</script\s*+>)?+"
-    rf"|style(?=[\s/>]){_TAG_REST}(?:[^<]++|<(?!/style\s*+>))*+(?:</style\s*+>)?+)"
+_TAG = rf"/?[a-z!?]{_INSIDE}>?+"
+ANY_TAG = f"<{_TAG}"
+
+
+def _raw_text(tag: str) -> str:
+    """An element whose content is no markup; unclosed, it reaches to the end."""
+    return rf"<{tag}(?=[\s/>]){_INSIDE}>(?:[^<]++|<(?!/{tag}\s*+>))*+(?:</{tag}\s*+>)?+"
+
+
+# The patterns test for the bracket first, as most characters are none.
+# Comments, scripts and style sheets; group 1 is any other tag, which stays.
+NOISE = rf"(?=<)(?:<!--(?:[^-]++|-(?!->))*+(?:-->)?+|{_raw_text('script')}|{_raw_text('style')}|({ANY_TAG}))"
+ANCHOR = rf"<(?:(a)(?=[\s/>]){_INSIDE}>|{_TAG})"
+META = rf"(?=<)(?:(<meta(?=[\s/]){_INSIDE}>)|{ANY_TAG})"
+# The walk starts at the beginning only, so it runs once.
+BODY = (
+    rf"\A(?:[^<]++|<(?!body[\s/>])(?:/?[a-z!?]{_INSIDE}>?+)?+)*+"
+    rf"<body(?=[\s/>]){_INSIDE}>?+((?:[^<]++|<(?!/body\s*+>))*+)"
 )
-ANCHOR = rf"<a(?=[\s/>]){_TAG_REST}"
-META = rf"<meta(?=[\s/]){_TAG_REST}"
-BODY = rf"<body(?=[\s/>]){_TAG_REST}((?:[^<]++|<(?!/body\s*+>))*+)"
-ANY_TAG = rf"</?[a-z!?]{_TAG_REST}"
 # White space that is not a single blank already.
 WIDE_SPACE = r"\s\s++|[\t\n\x0B\f\r]"
 
 
 def _attribute(tag: str, name: str) -> str:
-    """Pattern whose group 1 is the raw value of the first ``name`` attribute.
-
-    Other attributes are consumed whole, so ``name=`` inside a quoted value is
-    never taken for the attribute.
-    """
-    other = rf"\s*+(?!{name}[\s=])[^\s\"'>=]++(?:\s*+=\s*+{_ANY_VALUE})?+"
-    return rf"<{tag}(?=[\s/])(?:{other})*+\s*+{name}\s*+=\s*+{_VALUE}"
+    """Pattern of a tag, from its name on; group 1 is the raw value of the first
+    ``name`` attribute."""
+    other = rf"\s*+(?!{name}[\s=])[^\s>=]++(?:\s*+=\s*+{_VALUE})?+"
+    return rf"{tag}(?=[\s/])(?:{other})*+\s*+{name}\s*+=\s*+({_VALUE})"
 
 
-LINK = _attribute("a", "href") + _TAG_REST
+LINK = rf"<(?:{_attribute('a', 'href')}{_INSIDE}>|{_TAG})"
 
 # Entities decoded in attribute values (fixed values); &amp; comes last.
 ENTITIES = [
@@ -60,7 +68,12 @@ ENTITIES = [
 
 def document(html: Column) -> Column:
     """Lower-cased html without comments, scripts and style sheets."""
-    return F.regexp_replace(F.lower(html), NOISE, " ")
+    return F.regexp_replace(F.lower(html), NOISE, "$1 ")
+
+
+def _groups(doc: Column, pattern: str) -> Column:
+    """Group 1 of every match that has one."""
+    return F.filter(F.regexp_extract_all(doc, F.lit(pattern), 1), lambda found: found != "")
 
 
 def decode(value: Column) -> Column:
@@ -72,8 +85,9 @@ def decode(value: Column) -> Column:
 
 def _unquoted(raw: Column) -> Column:
     """Attribute value without its quotes; an absent attribute (``''``) is NULL."""
-    quoted = raw.startswith('"') | raw.startswith("'")
-    return F.when(quoted, raw.substr(F.lit(2), F.length(raw) - 2)).when(raw != "", raw)
+    closed = F.length(raw) > 1
+    quoted = (raw.startswith('"') & raw.endswith('"')) | (raw.startswith("'") & raw.endswith("'"))
+    return F.when(quoted & closed, raw.substr(F.lit(2), F.length(raw) - 2)).when(raw != "", raw)
 
 
 def hrefs(doc: Column) -> Column:
@@ -82,14 +96,13 @@ def hrefs(doc: Column) -> Column:
     Extraction, unquoting and decoding are steps of their own, so each works on a
     bound variable and nothing is evaluated twice.
     """
-    raw = F.regexp_extract_all(doc, F.lit(LINK), 1)
-    found = F.transform(F.transform(raw, _unquoted), decode)
+    found = F.transform(F.transform(_groups(doc, LINK), _unquoted), decode)
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def anchor_count(doc: Column) -> Column:
     """Number of anchors, with or without a target."""
-    return F.coalesce(F.regexp_count(doc, F.lit(ANCHOR)), F.lit(0))
+    return F.coalesce(F.size(_groups(doc, ANCHOR)), F.lit(0))
 
 
 _META_FIELDS = {"name": "name", "equiv": "http-equiv", "content": "content"}
@@ -103,11 +116,10 @@ def metas(doc: Column) -> Column:
 
     def raw(tag: Column) -> Column:
         return F.struct(
-            *[F.regexp_extract(tag, _attribute("meta", attr), 1).alias(field) for field, attr in _META_FIELDS.items()]
+            *[F.regexp_extract(tag, rf"\A<{_attribute('meta', attr)}", 1).alias(field) for field, attr in _META_FIELDS.items()]
         )
 
-    tags = F.regexp_extract_all(doc, F.lit(META), 0)
-    return F.transform(F.transform(F.transform(tags, raw), each(_unquoted)), each(decode))
+    return F.transform(F.transform(F.transform(_groups(doc, META), raw), each(_unquoted)), each(decode))
 
 
 def meta_content(tags: Column, name: str) -> Column:
