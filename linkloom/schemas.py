@@ -37,8 +37,3 @@ PAGE_WIDTHS = {
 
 # Stored width of a link target (fixed value).
 LINK_TO_WIDTH = 100
-
-DRIVER_TABLES = {
-    "pages": "page_id bigint, url string, html string",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-}
