@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import common, exact, simhash
+from linkloom.llm import bpe, common, exact, mixing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +23,16 @@ def op1_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(common.documents(spark, sf_dir))
 
 
+@query
+def op2_source_mixing(spark, sf_dir):
+    return mixing.mix(common.documents(spark, sf_dir))
+
+
+@query
+def op6_bpe(spark, sf_dir):
+    return bpe.digests(common.documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op10_exact_dedup(spark, sf_dir):
     return exact.exact_duplicates(common.documents(spark, sf_dir))
