@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+import pathlib
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkloom.session import materialize, pin_settings
@@ -14,6 +17,11 @@ BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the session settings and bound the batches that go to Python."""
     pin_settings(spark)
+    # Workers import this package; a cluster has it installed or gets it with --py-files.
+    here = str(pathlib.Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if here not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([here, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
@@ -29,6 +37,23 @@ def crc_mod(column: str, n: int) -> F.Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def is_held_out(column: str, n: int, remainder: int) -> F.Column:
+    """Whether the id's remainder is the held-out one; a NULL id has none."""
+    return F.coalesce(crc_mod(column, n) == remainder, F.lit(False))
+
+
+def class_sample(rows: DataFrame, label: str, per_class: int, seed: int) -> DataFrame:
+    """doc_id and ``label`` of at most ``per_class`` rows of each class, by a seeded hash,
+    with the size of the class. Rows with a NULL id or label are left out; of repeated
+    ids one counts. Only narrow rows move."""
+    rows = rows.select("doc_id", label).where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+    rows = rows.groupBy("doc_id").agg(F.min(label).alias(label))
+    order = Window.partitionBy(label).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
+    sizes = rows.groupBy(label).agg(F.count("*").alias("class_size"))
+    taken = rows.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= per_class)
+    return taken.drop("_nth").join(sizes, label)
+
+
 def with_row_id(df: DataFrame, label: str, name: str = "_row_id") -> DataFrame:
     """Store the rows once with a unique id, so that later passes agree on it."""
     return materialize(df.withColumn(name, F.monotonically_increasing_id()), label)

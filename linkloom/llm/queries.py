@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import bpe, common, exact, mixing, simhash
+from linkloom.llm import bpe, common, exact, langid, mixing, quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,3 +36,23 @@ def op6_bpe(spark, sf_dir):
 @query
 def op10_exact_dedup(spark, sf_dir):
     return exact.exact_duplicates(common.documents(spark, sf_dir))
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    return langid.predict_languages(common.documents(spark, sf_dir))
+
+
+@query
+def op8_quality(spark, sf_dir):
+    return quality.predict_quality(common.documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    scored = toxicity.score_toxicity(common.documents(spark, sf_dir), _labels(spark, sf_dir))
+    return scored.select("doc_id", "held_out", "score", "predicted")
