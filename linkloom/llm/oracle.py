@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from linkloom.llm import licences
+
 ORACLE: dict[str, str] = {
     "op10_exact_dedup": r"""
         with texts as (
@@ -15,3 +17,37 @@ ORACLE: dict[str, str] = {
         from texts window g as (partition by norm)
     """,
 }
+
+
+def _licence_sql() -> str:
+    """Rules as a chain of steps; each takes what it matches out of the row of identifiers."""
+    known = ", ".join(f"('{s}', '{i}')" for s, i in licences.SENTENCES.items())
+    carries = " or ".join(f"contains(s, '{w}')" for w in licences.LICENCE_WORDS)
+    steps, last = [], "s0"
+    for n, (_, ids) in enumerate(licences.RULES, 1):
+        row = licences.marked(ids)
+        steps.append(
+            f"s{n} as (select * replace (replace(rest, '{row}', '<>') as rest), contains(rest, '{row}') as f{n} from {last})"
+        )
+        last = f"s{n}"
+    found = ", ".join(f"case when f{n} then '{name}' end" for n, (name, _) in enumerate(licences.RULES, 1))
+    return f"""
+        with known(sentence, id) as (values {known}),
+        rows as (select row_number() over () as r, doc_id, translate(coalesce(text, ''), '{licences.UPPER}', '{licences.LOWER}') as t from documents),
+        split as (select r, unnest(regexp_split_to_array(t, '{licences.SENTENCE_END}')) as s,
+                         generate_subscripts(regexp_split_to_array(t, '{licences.SENTENCE_END}'), 1) as k from rows),
+        picked as (select r, k, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) as sentence from split where {carries}),
+        ids as (
+            select r, coalesce(string_agg('<' || id || '>', '' order by k), '') as rest, coalesce(string_agg(id, ';' order by k), '') as sentence_ids,
+                   count(id) as n_known, count(*) - count(id) as n_unknown
+            from picked left join known using (sentence) group by r
+        ),
+        s0 as (select * from ids),
+        {", ".join(steps)}
+        select doc_id, coalesce(concat_ws(';', {found}), '') as licences, coalesce(sentence_ids, '') as sentence_ids,
+               coalesce(n_known, 0) as n_known, coalesce(n_unknown, 0) as n_unknown
+        from rows left join {last} using (r)
+    """
+
+
+ORACLE["op5_license_scan"] = _licence_sql()

@@ -31,6 +31,7 @@ NEIGHBOURS, BLOCK, THRESHOLD = 10, 64, 0.5
 ASSOCIATION, VOCABULARY = 25.0, 4096
 #: Words in at most so many examples mark a family of near copies.
 FAMILY_WORDS = 20
+BANDS, BAND_ROWS = 4, 4
 #: Vote of one neighbour of similarity one that speaks for the overall share.
 PRIOR_VOTE = 0.05
 _WORD = re.compile(r"[^\W\d_]+")
@@ -41,8 +42,8 @@ def words(text: str | None) -> list[str]:
 
 
 def families(bags: list[list[str]]) -> np.ndarray:
-    """Number of the family of near copies of each bag: bags that agree in the least hash
-    of their rare words, under any of four hashes, are together."""
+    """Number of the family of near copies of each bag: bags whose rare words agree in all
+    least hashes of a band, in any of the bands, are together."""
     found = Counter(w for bag in bags for w in bag)
     parent = np.arange(len(bags))
 
@@ -52,13 +53,14 @@ def families(bags: list[list[str]]) -> np.ndarray:
             i = parent[i]
         return i
 
-    first: dict[tuple[int, int], int] = {}
+    odd = np.random.default_rng(SEED).integers(1 << 62, size=BANDS * BAND_ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    first: dict[tuple, int] = {}
     for i, bag in enumerate(bags):
         rare = np.array([zlib.crc32(w.encode()) for w in bag if 1 < found[w] <= FAMILY_WORDS], np.uint64)
-        for k, odd in enumerate((0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)):
-            if len(rare):
-                key = (k, int(((rare * np.uint64(odd)) & np.uint64(0xFFFFFFFF)).min()))
-                parent[root(i)] = root(first.setdefault(key, i))
+        if len(rare):
+            least = ((rare[:, None] * odd) >> np.uint64(16)).min(axis=0).reshape(BANDS, BAND_ROWS)
+            for band, values in enumerate(least.tolist()):
+                parent[root(i)] = root(first.setdefault((band, *values), i))
     return np.array([root(i) for i in range(len(bags))])
 
 
