@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import bpe, common, exact, langid, licences, mixing, quality, simhash, toxicity
+from linkloom.llm import ann, bpe, common, exact, langid, licences, mixing, quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,12 @@ def op2_source_mixing(spark, sf_dir):
     return mixing.mix(common.documents(spark, sf_dir))
 
 
+@query
+def op3_ann_search(spark, sf_dir):
+    common.prepare(spark)
+    return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query
 def op5_license_scan(spark, sf_dir):
     return licences.scan(common.documents(spark, sf_dir))
