@@ -1,20 +1,61 @@
-"""A corpus pipeline: stages of the text operators, one after the other."""
+"""A corpus pipeline: language, exact copies, near copies, mixing, encoding.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but
+the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-from linkloom.llm import common, exact, simhash
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from linkloom.llm import bpe, common, exact, langid, mixing, simhash
+from linkloom.session import materialize
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents whose text is in a language."""
+    return langid.keep_identified(docs)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the first of equal texts."""
+    return exact.keep_first(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies."""
+    return simhash.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them."""
+    return mixing.mixed(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with the digests of their encoded and decoded forms."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digests(docs, path, keep=["doc_id", "lang", "source"], tokens=True)
+
 
 STAGES = [
-    ("exact dedup", lambda spark, docs, sf_dir: exact.keep_first(docs)),
-    ("near dedup", lambda spark, docs, sf_dir: simhash.keep_one(docs)),
+    ("language identification", identify_language),
+    ("exact dedup", drop_exact_copies),
+    ("near dedup", drop_near_copies),
+    ("source mixing", mix_sources),
+    ("encoding", encode),
 ]
 
-#: SQL cannot express the trained stages.
+#: SQL cannot express the trained network nor the tokenizer; tests compare with plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again."""
     docs = common.documents(spark, sf_dir)
-    for _, stage in STAGES:
+    for n, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
+        if n < len(STAGES):
+            docs = materialize(docs, f"pipeline-{n}")
     return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import ann, bpe, common, exact, langid, licences, mixing, quality, simhash, toxicity
+from linkloom.llm import ann, bpe, common, exact, langid, licences, mixing, pitman_yor, quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,3 +67,8 @@ def op8_quality(spark, sf_dir):
 def op9_toxicity(spark, sf_dir):
     scored = toxicity.score_toxicity(common.documents(spark, sf_dir), _labels(spark, sf_dir))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op4_pitman_yor_lm(spark, sf_dir):
+    return pitman_yor.score_documents(common.documents(spark, sf_dir))
