@@ -1,7 +1,7 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
 Examples are a bounded sample of labelled documents (``PER_CLASS`` each). Vectors
-use the words that separate the classes among them; families of near copies count once in
+use the words and beginnings of words that separate the classes among them; families of near copies count once in
 that choice, so one copied text cannot make its own words look toxic. Document
 frequencies come from all documents. Examples sit in an inverted index in blocks, each term with its
 largest weight per block: a block is read only while its bound reaches the k-th best
@@ -25,15 +25,16 @@ from linkloom.llm import common
 from linkloom.session import materialize
 
 #: Labelled documents of a class that may be examples.
-PER_CLASS, SEED = 2000, 9
+PER_CLASS, SEED = 1500, 9
 NEIGHBOURS, BLOCK, THRESHOLD = 10, 64, 0.5
 #: Least association of a word with a class (chi-square of one degree), and words at most.
-ASSOCIATION, VOCABULARY = 25.0, 4096
-#: Words in at most so many examples mark a family of near copies.
-FAMILY_WORDS = 20
-BANDS, BAND_ROWS = 4, 4
+ASSOCIATION, LIFT, VOCABULARY, LEAST_EXAMPLES = 25.0, 4.0, 4096, 3
+#: Near copies agree in all least hashes of one of the bands.
+BANDS, BAND_ROWS = 8, 8
 #: Vote of one neighbour of similarity one that speaks for the overall share.
 PRIOR_VOTE = 0.05
+#: Letters of the beginnings of words that are terms too, and words a worker remembers.
+STEMS, CACHED_WORDS = range(3, 9), 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -41,10 +42,14 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def terms_of(word: str) -> list[str]:
+    """The word itself and its beginnings, which stand for a stem with any ending."""
+    return [word, *[word[:n] + "*" for n in STEMS if n < len(word)]]
+
+
 def families(bags: list[list[str]]) -> np.ndarray:
-    """Number of the family of near copies of each bag: bags whose rare words agree in all
-    least hashes of a band, in any of the bands, are together."""
-    found = Counter(w for bag in bags for w in bag)
+    """Number of the family of near copies of each bag: bags that agree in all least
+    hashes of a band, in any of the bands, are together."""
     parent = np.arange(len(bags))
 
     def root(i: int) -> int:
@@ -56,32 +61,37 @@ def families(bags: list[list[str]]) -> np.ndarray:
     odd = np.random.default_rng(SEED).integers(1 << 62, size=BANDS * BAND_ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
     first: dict[tuple, int] = {}
     for i, bag in enumerate(bags):
-        rare = np.array([zlib.crc32(w.encode()) for w in bag if 1 < found[w] <= FAMILY_WORDS], np.uint64)
-        if len(rare):
-            least = ((rare[:, None] * odd) >> np.uint64(16)).min(axis=0).reshape(BANDS, BAND_ROWS)
+        if bag:
+            hashes = np.array([zlib.crc32(w.encode()) for w in bag], np.uint64)
+            least = ((hashes[:, None] * odd) >> np.uint64(16)).min(axis=0).reshape(BANDS, BAND_ROWS)
             for band, values in enumerate(least.tolist()):
                 parent[root(i)] = root(first.setdefault((band, *values), i))
     return np.array([root(i) for i in range(len(bags))])
 
 
 def separating_words(bags: list[list[str]], y: np.ndarray) -> list[str]:
-    """Words whose presence goes with a class, counted once per family and class."""
+    """Terms that speak for class 1: clearly associated with it and ``LIFT`` times as frequent
+    there, families counted once per class. Of terms in the same families the longest stands."""
     family = families(bags)
+    tally = Counter(t for bag in bags for t in {t for w in bag for t in terms_of(w)})
+    often = {t for t, n in tally.items() if n >= LEAST_EXAMPLES}
+    del tally
     seen = defaultdict(set)
     for bag, f, c in zip(bags, family.tolist(), y.tolist(), strict=True):
-        for w in bag:
-            seen[w].add((f, c))
-    n = np.array([len({(f, c) for f, c in zip(family.tolist(), y.tolist(), strict=True) if c == k}) for k in (0, 1)], float)
-    scored = []
+        for t in {t for w in bag for t in terms_of(w)} & often:
+            seen[t].add((f, c))
+    every = set(zip(family.tolist(), y.tolist(), strict=True))
+    n0, n1 = (sum(c == k for _, c in every) for k in (0, 1))
+    best: dict[frozenset, tuple] = {}
     for w, where in seen.items():
-        has = np.array([sum(c == k for _, c in where) for k in (0, 1)], float)
-        rows, total = has.sum(), n.sum()
-        expected = n[1] * rows / total
-        spread = expected * (n[0] / total) * (1 - rows / total)
-        strength = (has[1] - expected) ** 2 / spread if spread > 0 else 0.0
-        if strength >= ASSOCIATION:
-            scored.append((-strength, w))
-    return [w for _, w in sorted(scored)[:VOCABULARY]]
+        rows, has = len(where), sum(c for _, c in where)
+        expected = n1 * rows / (n0 + n1)
+        spread = expected * (n0 / (n0 + n1)) * (1 - rows / (n0 + n1))
+        strength = (has - expected) ** 2 / spread if spread > 0 else 0.0
+        if strength >= ASSOCIATION and (has + 0.5) * n0 >= LIFT * (rows - has + 0.5) * n1:
+            key = frozenset(where)
+            best[key] = min(best.get(key, (0, 1, "")), (-strength, -len(w), w))
+    return [w for *_, w in sorted(best.values())[:VOCABULARY]]
 
 
 def weights(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -153,8 +163,8 @@ class ToxicityModel:
         beta = np.array([1.0, 0.0])
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-            gradient = x.T @ (vote * (y - p)) - 1e-3 * (beta - [1.0, 0.0])
-            beta = beta + np.linalg.solve((x * (vote * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), gradient)
+            gradient = x.T @ (vote * (y - p)) - (beta - [1.0, 0.0])  # prior: the odds as they are
+            beta = beta + np.linalg.solve((x * (vote * p * (1 - p))[:, None]).T @ x + np.eye(2), gradient)
         if np.isfinite(beta).all() and beta[0] > 0:
             self.slope, self.offset = float(beta[0]), float(beta[1])
 
@@ -170,10 +180,24 @@ def _vectors(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     numbers = {w: i for i, w in enumerate(vocabulary)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[int, ...]] = {}  # terms of a word
+
+        def look_up(word: str) -> tuple[int, ...]:
+            if len(known) >= CACHED_WORDS:
+                known.clear()
+            found = known[word] = tuple(numbers[t] for t in terms_of(word) if t in numbers)
+            return found
+
         for batch in batches:
             terms, counts = [], []
             for text in batch.column(1):
-                tally = Counter(numbers[w] for w in words(text.as_py()) if w in numbers)
+                tally: Counter[int] = Counter()
+                for word in words(text.as_py()):
+                    found = known.get(word)
+                    if found is None:
+                        found = look_up(word)
+                    if found:
+                        tally.update(found)
                 terms.append(sorted(tally))
                 counts.append([tally[t] for t in terms[-1]])
             columns = [pa.array(x, pa.list_(pa.int32())) for x in (terms, counts)]
@@ -183,6 +207,19 @@ def _vectors(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _frequencies(size: int):
+    """Documents with each term, counted per partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(size, np.int64)
+        for batch in batches:
+            found += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(found[some])], ["term", "n"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: tuple[int, int] = (5, 0)) -> tuple[ToxicityModel, DataFrame]:
     """The model, and the stored vectors of all documents."""
     n, remainder = held_out
@@ -198,7 +235,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: tupl
     vocabulary = separating_words([r["bag"] for r in rows], y) if len(rows) else []
     vectors = materialize(_vectors(docs, vocabulary), "toxic-vectors")
     df = np.zeros(len(vocabulary))
-    for term, count in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # one row per term
+    found = vectors.select("terms").mapInArrow(_frequencies(len(vocabulary)), "term int, n long")
+    for term, count in found.groupBy("term").agg(F.sum("n")).collect():  # one row per term
         df[term] = count
     idf = np.log((1 + vectors.count()) / (1 + df)) + 1
     sizes = dict(sample.groupBy(label).agg(F.max("class_size")).collect())
