@@ -22,6 +22,8 @@ from linkloom.session import materialize
 
 # A url queued more often than this is joined with a broadcast of its links.
 REPEAT_LIMIT = 1_000_000
+# More jobs than any queue holds.
+UNLIMITED = 1 << 62
 
 
 def _union(levels: list[DataFrame]) -> DataFrame:
@@ -75,7 +77,7 @@ def expand_fifo(
     dedupe: bool = False,
     repeat_limit: int = REPEAT_LIMIT,
 ) -> DataFrame:
-    """The first ``max_jobs`` jobs in queue order: (position, link_depth, url).
+    """The first ``max_jobs`` jobs in queue order, below 1 all of them: (position, link_depth, url).
 
     Queue order is (depth, position of the parent, position of the link). Seeds
     need ``position`` and edges a dense ``pos`` per source, both from 0. The rank
@@ -84,7 +86,7 @@ def expand_fifo(
     before the join; with it, the first rank of each new url is numbered again.
     """
     if max_jobs < 1:
-        raise ValueError("an unlimited crawl is expand_all or expand_distinct")
+        max_jobs = UNLIMITED
     seeds = seeds.select("url", "position")
     if dedupe:
         seeds = _first_of_each(seeds)

@@ -7,12 +7,15 @@ globally, so neither the table nor one hot key passes through one task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.session import materialize
 
-_PART = r"part-(\d+)"
+_PART = r"part-(\d+)[^/]*$"
 
 
 def _written_in_order(df: DataFrame, order_by: list[str]) -> DataFrame:
@@ -50,7 +53,7 @@ def with_running_sums(
 ) -> DataFrame:
     """Add inclusive running sums per group; ``sums`` maps new column -> input.
 
-    ``order_by`` must be unique within a group and groups not NULL. A group may span any number of
+    ``order_by`` must be unique within a group; NULL is a group of its own. A group may span any number of
     files; inside one file the window is bounded by the file.
     """
     rows = _written_in_order(df, [*group_by, *order_by])
@@ -75,10 +78,13 @@ def with_running_sums(
     )
     # Files follow the group order, so only the first group of a file can have
     # begun earlier: at most one carried row per written file.
+    keys = {g: f"_g{n}" for n, g in enumerate(["_file", *group_by])}
+    carried = carried.drop("_nth").withColumnsRenamed(keys)
+    same = reduce(and_, [F.col(g).eqNullSafe(F.col(k)) for g, k in keys.items()])
     return (
-        local.join(F.broadcast(carried.drop("_nth")), ["_file", *group_by], "left")
+        local.join(F.broadcast(carried), same, "left")
         .withColumns({out: F.col(f"_l_{out}") + F.coalesce(f"_c_{out}", F.lit(0)) for out in sums})
-        .drop("_file", "_row", *[f"_{x}_{out}" for out in sums for x in "lc"])
+        .drop("_file", "_row", *keys.values(), *[f"_{x}_{out}" for out in sums for x in "lc"])
     )
 
 

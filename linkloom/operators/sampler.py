@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.times import from_micros, micros
-from linkloom.session import materialize
+from linkloom.session import materialize, spread
 
 FOLD_LIMIT = 50_000
 _FOLD_BLOCK = 256
@@ -34,8 +34,14 @@ _SLOT_CHUNK = 100_000
 
 
 def ticks(log: DataFrame, worker: str = "worker", ts: str = "processed_at") -> DataFrame:
-    """Job log -> (worker, t, n)."""
-    return log.select(F.col(worker).alias("worker"), micros(F.col(ts)).alias("t"), F.lit(1).cast("long").alias("n"))
+    """Job log -> (worker, t, n). Jobs without a time have no place, see ``untimed``."""
+    timed = log.where(F.col(ts).isNotNull())
+    return timed.select(F.col(worker).alias("worker"), micros(F.col(ts)).alias("t"), F.lit(1).cast("long").alias("n"))
+
+
+def untimed(log: DataFrame, worker: str = "worker", ts: str = "processed_at") -> DataFrame:
+    """Jobs per worker that ``ticks`` leaves out for want of a time."""
+    return log.where(F.col(ts).isNull()).groupBy(F.col(worker).alias("worker")).agg(F.count("*").alias("n_untimed"))
 
 
 def whole_rates(span: Column, rate: int) -> Column:
@@ -44,8 +50,10 @@ def whole_rates(span: Column, rate: int) -> Column:
 
 
 def samples(tick_rows: DataFrame, rate_seconds: float, fold_limit: int = FOLD_LIMIT) -> DataFrame:
-    """Non-zero and open samples of every worker."""
+    """Non-zero and open samples of every worker; the NULL worker is one like any other."""
     rate = round(rate_seconds * SECOND)
+    # In a struct a NULL equals a NULL, so the joins below keep such workers.
+    tick_rows = tick_rows.withColumn("worker", F.struct("worker"))
     sizes = tick_rows.groupBy("worker").agg(F.count("*").alias("_ticks"), F.min("t").alias("start"))
     busy = materialize(sizes.where(F.col("_ticks") > fold_limit).drop("_ticks"), "busy-workers")
     if busy.isEmpty():
@@ -54,7 +62,7 @@ def samples(tick_rows: DataFrame, rate_seconds: float, fold_limit: int = FOLD_LI
         calm = tick_rows.join(busy.select("worker"), "worker", "left_anti")
         found = _fold(calm, rate).unionByName(_chain(tick_rows.join(busy, "worker"), busy, rate))
     # Stored, as every report reads the samples more than once.
-    return materialize(found, "samples")
+    return materialize(found.withColumn("worker", F.col("worker.worker")), "samples")
 
 
 def _fold(tick_rows: DataFrame, rate: int) -> DataFrame:
@@ -271,7 +279,8 @@ def dense(sample_rows: DataFrame) -> DataFrame:
     chunked = sample_rows.withColumn(
         "_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(_SLOT_CHUNK).cast("long")))
     )
-    slots = chunked.withColumn(
+    # Long gaps become many rows: spread the chunks before they are written out.
+    slots = spread(chunked, "worker", "idx", "_from").withColumn(
         "_slot",
         F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + _SLOT_CHUNK, F.col("slots")) - 1)),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.operators.sampler import SECOND, whole_rates
+from linkloom.session import spread
 
 _CHUNK = 100_000
 
@@ -37,7 +38,7 @@ def _range_to(bound: DataFrame, name: str) -> DataFrame:
     chunks = bound.where("n > 0").select(
         "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, step)).alias("_from")
     )
-    return chunks.select(
+    return spread(chunks, "_from").select(
         F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + _CHUNK, F.col("n")) - 1)).alias(name)
     )
 
@@ -56,8 +57,9 @@ def moving_average(
     ``order_by`` is a dense integer index. A group is cut into chunks; each chunk
     also gets the ``size - 1`` samples before it, so a window never spans more.
     """
-    if not 1 <= size <= chunk:
-        raise ValueError("size must be between 1 and the chunk length")
+    if size < 1:
+        raise ValueError("size must be at least 1")
+    chunk = max(chunk, size)
     own = F.expr(f"{order_by} div {chunk}")
     into = F.expr(f"({order_by} + {size - 1}) div {chunk}")
     placed = series.withColumn("_chunk", F.explode(F.sequence(own, into)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import urls as U
 from linkloom.operators import pages as P
+from linkloom.operators.ordering import with_position
 from linkloom.session import pin_settings
 from linkloom.sources import joblog
 
@@ -26,25 +27,41 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages")
 
 
+def _numbered(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """Pages with ``_nth``, their place by page_id from 0; ids may have gaps."""
+    return with_position(pages(spark, sf_dir).select(*columns), ["page_id"], "_nth")
+
+
 def web_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, src, pos, dst): three links from every page to other pages."""
-    known = pages(spark, sf_dir).select("page_id", "url")
-    total = known.agg(F.count("*")).scalar()
+    known = _numbered(spark, sf_dir, ["page_id", "url"])
+    total = pages(spark, sf_dir).agg(F.count("*")).scalar()
     steps = F.array(*[F.lit(k).cast("long") for k in STEPS])
-    out = known.select("page_id", F.col("url").alias("src"), F.posexplode(steps).alias("pos", "_step"))
-    out = out.withColumn("_target", F.pmod(F.col("page_id") + F.col("_step"), total))
-    targets = known.select(F.col("page_id").alias("_target"), F.col("url").alias("dst"))
+    out = known.select("page_id", "_nth", F.col("url").alias("src"), F.posexplode(steps).alias("pos", "_step"))
+    out = out.withColumn("_target", F.pmod(F.col("_nth") + F.col("_step"), total))
+    targets = known.select(F.col("_nth").alias("_target"), F.col("url").alias("dst"))
     return out.join(targets, "_target").select("page_id", "src", "pos", "dst")
 
 
-def real_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(page_id, src, pos, dst): links found in the html, made absolute."""
-    found = P.links(pages(spark, sf_dir), ["page_id", "url"])
+def real_edges(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
+    """(page_id, src, pos, dst): links found in the html, made absolute; with ``of`` only those
+    of its urls, and no other page is parsed."""
+    read = pages(spark, sf_dir)
+    if of is not None:
+        read = read.join(of.select("url"), "url", "left_semi")
+    found = P.links(read, ["page_id", "url"])
     return found.select(
         "page_id", F.col("url").alias("src"), "pos", U.resolve(F.col("href"), F.col("url")).alias("dst")
     )
 
 
+def page_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of crawled pages and document pages, made absolute: (origin, page_id, src, pos, dst)."""
+    found = P.links(all_pages(spark, sf_dir), ["origin", "page_id", "url"])
+    dst = U.resolve(F.col("href"), F.col("url"))
+    return found.select("origin", "page_id", F.col("url").alias("src"), "pos", dst.alias("dst"))
+
+
 def domain_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first page of every domain, numbered by nothing yet: (page_id, url)."""
     grouped = pages(spark, sf_dir).groupBy(U.domain(F.col("url")).alias("domain"))
@@ -111,12 +128,13 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event e processed page e mod N: (worker, url, processed_at, n_links), plus event_id."""
-    counts = P.link_counts(pages(spark, sf_dir), ["page_id", "url"])
+    counted = P.link_counts(pages(spark, sf_dir), ["page_id", "url"])
+    counts = with_position(counted, ["page_id"], "_nth").drop("page_id")
     total = pages(spark, sf_dir).agg(F.count("*")).scalar()
     events = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "ts", F.pmod(F.col("event_id"), total).alias("page_id")
+        "event_id", "user_id", "ts", F.pmod(F.col("event_id"), total).alias("_nth")
     )
-    return events.join(counts, "page_id")
+    return events.join(counts, "_nth").drop("_nth")
 
 
 def downloads(spark: SparkSession, sf_dir: str, keep: list[str]) -> DataFrame:

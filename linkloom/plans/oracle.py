@@ -129,10 +129,8 @@ parsed as (
 
 _ROWS = f"""{_PARSED},
 stored as (
-  select origin, page_id, substr(url, 1, 80) as page_url, substr(title, 1, 100) as title,
-    substr(author, 1, 100) as author, substr(charset, 1, 100) as charset,
-    substr(replace(keywords, '|', ','), 1, 2048) as keywords,
-    substr(description, 1, 4000) as description, substr(body_text, 1, 100000) as body_text
+  select origin, page_id, url as page_url, title, author, charset, replace(keywords, '|', ',') as keywords,
+    description, body_text
   from parsed
 )"""
 
@@ -140,9 +138,9 @@ _STEP_ROWS = ", ".join(f"({step}, {pos})" for pos, step in enumerate(STEPS))
 _WEB = f"""
 web as (
   select p.page_id, p.url as src, k.pos, q.url as dst
-  from (select *, count(*) over () as n from pages) p
+  from (select *, count(*) over () as n, row_number() over (order by page_id) - 1 as nth from pages) p
   cross join (values {_STEP_ROWS}) as k(step, pos)
-  join pages q on q.page_id = (p.page_id + k.step) % p.n
+  join (select url, row_number() over (order by page_id) - 1 as nth from pages) q on q.nth = (p.nth + k.step) % p.n
 ),
 seeds as (
   select page_id, url, row_number() over (order by page_id) - 1 as position
@@ -165,6 +163,13 @@ near as (
 )"""
 
 
+_ABSOLUTE = """case
+    when left(href, 1) = '/' and left(href, 2) <> '//' and regexp_matches(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+')
+    then concat(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)', 1), href) else href end"""
+_LINKS = f"""{_ALL_PAGES},
+links as (select origin, page_id, url as src, {_ABSOLUTE} as dst from hrefs)"""
+
+
 def _crawl(name: str, depth: int, condition: str = "true", seed_condition: str = "true") -> str:
     """Every path of a crawl: one row per job, with its path as the queue order."""
     return f"""
@@ -178,12 +183,13 @@ def _crawl(name: str, depth: int, condition: str = "true", seed_condition: str =
 
 _JOB_LOG = f"""{_ALL_PAGES},
 counted as (
-  select p.page_id, p.url, (select count(*) from hrefs h where h.origin = 'crawl' and h.page_id = p.page_id) as n_links
+  select row_number() over (order by p.page_id) - 1 as nth, p.url,
+    (select count(*) from hrefs h where h.origin = 'crawl' and h.page_id = p.page_id) as n_links
   from pages p
 ),
 log as (
   select e.event_id, e.user_id as worker, c.url, e.ts as processed_at, c.n_links
-  from events e join counted c on c.page_id = e.event_id % (select count(*) from pages)
+  from events e join counted c on c.nth = e.event_id % (select count(*) from pages)
 )"""
 
 _SAMPLES = f"""
@@ -301,7 +307,9 @@ ORACLE: dict[str, str] = {
     "skip_unfetched": _with(_WEB, _REAL)
     + "select w.url, octet_length(encode(p.html))::bigint as n_bytes from wanted w join pages p on p.url = w.url",
     "clip_columns": _with(_ROWS)
-    + "select origin, page_id, page_url, title, author, charset, keywords, description, body_text from stored",
+    + """select origin, page_id, substr(page_url, 1, 80) as page_url, substr(title, 1, 100) as title,
+          substr(author, 1, 100) as author, substr(charset, 1, 100) as charset, substr(keywords, 1, 2048) as keywords,
+          substr(description, 1, 4000) as description, substr(body_text, 1, 100000) as body_text from stored""",
     "resolve_links": _with(_WEB, _REAL) + "select page_id, pos, dst from real_links",
     "random_order": """select page_id, row_number() over (order by md5(concat('42:', page_id)), page_id) - 1 as position
         from pages""",
@@ -324,6 +332,7 @@ ORACLE: dict[str, str] = {
     + f"""select * from (
           select row_number() over (order by link_depth, path) - 1 as position, link_depth, url from jobs
         ) where position < {BUDGET}""",
+    "frontier_unlimited": _JOBS + "select row_number() over (order by link_depth, path) - 1 as position, link_depth, url from jobs",
     "frontier_budget_dedupe": _JOBS
     + f"""select * from (
           select row_number() over (order by link_depth, path) - 1 as position, link_depth, url from (
@@ -340,12 +349,12 @@ ORACLE: dict[str, str] = {
     + """select link_depth, count(distinct url) as n_urls, count(*) as n_jobs,
           (sum(count(*)) over (order by link_depth))::bigint as n_discovered
         from jobs group by link_depth""",
-    "domain_graph": _with(_WEB)
+    "domain_graph": _with(_LINKS)
     + f"""select page_id % 8 as worker, {_domain('src')} as src_domain, {_domain('dst')} as dst_domain,
-          count(*) as n_links from web group by all""",
-    "domain_graph_total": _with(_WEB)
+          count(*) as n_links from links group by all""",
+    "domain_graph_total": _with(_LINKS)
     + f"""select {_domain('src')} as src_domain, {_domain('dst')} as dst_domain, count(*) as n_links
-        from web group by all""",
+        from links group by all""",
     "branching_factor": _with(_ALL_PAGES)
     + f"""select domain, count(*) as n_pages, sum(n)::bigint as n_links, round(sum(n) / count(*), 6) as branching_factor
         from (select {_domain('p.url')} as domain,
@@ -376,8 +385,8 @@ ORACLE: dict[str, str] = {
     "pages_per_second": _with(_RUNS)
     + """select n_threads, sum(n_pages)::bigint as n_pages,
           round(sum(n_pages) / (sum(seconds)::double / n_threads), 6) as pps from runs group by n_threads""",
-    "site_link_counts": _with(_WEB)
-    + f"select {_site('src')} as site, {_site('dst')} as link_to, count(*) as n_links from web group by all",
+    "site_link_counts": _with(_LINKS)
+    + f"select {_site('src')} as site, {_site('dst')} as link_to, count(*) as n_links from links where {_site('src')} is not null and {_site('dst')} is not null group by all",
     "site_links_hostless": _with(_ALL_PAGES)
     + f"select count(*) filter (where {_site('url')} is null or {_site('href')} is null) as n_hostless, "
     "count(*) as n_links from hrefs",
@@ -405,9 +414,9 @@ ORACLE: dict[str, str] = {
             row_number() over (partition by n.n_name, page_url order by page_id) as nth
           from stored s join nation n on n.n_name = concat('NATION_', s.page_id % 30) where origin = 'document'
         ) where nth = 1""",
-    "site_link_table": _with(_WEB)
+    "site_link_table": _with(_LINKS)
     + f"""select {_site('src')} as site, replace({_site('src')}, '.', '_') as site_table, {_site('dst')} as link_to,
-          count(*) as n_links from web group by all""",
+          count(*) as n_links from links where {_site('src')} is not null and {_site('dst')} is not null group by all""",
     "raw_archive": _with(_WEB, _REAL)
     + """select concat('run1_', sha256(n.url)) as archive_id,
           concat('<!-- url: ', n.url, ' --><!-- timestamp: 2/1/2024 3:4:5 --><!-- linkDepth: ', n.link_depth, ' -->',

@@ -21,7 +21,7 @@ from linkloom.operators import workers as W
 from linkloom.plans import inputs as I
 from linkloom.plans.crawl import crawl
 from linkloom.plans.stages import run_stages
-from linkloom.session import new_path
+from linkloom.session import materialize, new_path, pin_settings
 from linkloom.sinks import links as link_sink
 from linkloom.sinks import pages as page_sink
 from linkloom.sinks import series as series_sink
@@ -232,7 +232,7 @@ def skip_unfetched(spark, sf_dir):
 @query
 def clip_columns(spark, sf_dir):
     parsed = P.parse(I.all_pages(spark, sf_dir), ["origin", "page_id", "url"])
-    return page_sink.page_rows(parsed, keep=["origin", "page_id"])
+    return R.clip_columns(page_sink.page_rows(parsed, keep=["origin", "page_id"]))
 
 
 @query
@@ -265,9 +265,9 @@ def frontier_dedupe(spark, sf_dir):
     return FR.expand_distinct(I.domain_seeds(spark, sf_dir), I.web_edges(spark, sf_dir), 2 * I.MAX_DEPTH)
 
 
-def _queued(spark: SparkSession, sf_dir: str, dedupe: bool) -> DataFrame:
+def _queued(spark: SparkSession, sf_dir: str, dedupe: bool, budget: int = I.BUDGET) -> DataFrame:
     seeds = O.with_position(I.domain_seeds(spark, sf_dir), ["page_id"])
-    return FR.expand_fifo(seeds, I.web_edges(spark, sf_dir), I.MAX_DEPTH, I.BUDGET, dedupe)
+    return FR.expand_fifo(seeds, I.web_edges(spark, sf_dir), I.MAX_DEPTH, budget, dedupe)
 
 
 @query
@@ -280,6 +280,11 @@ def frontier_budget_dedupe(spark, sf_dir):
     return _queued(spark, sf_dir, dedupe=True)
 
 
+@query
+def frontier_unlimited(spark, sf_dir):
+    return _queued(spark, sf_dir, dedupe=False, budget=0)
+
+
 @query
 def frontier_dfs_set(spark, sf_dir):
     keep = U.contains_http
@@ -288,10 +293,15 @@ def frontier_dfs_set(spark, sf_dir):
     return FR.visited(seeds, edges, I.MAX_DEPTH)
 
 
+def _near_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds and what they link to; only the seeds' pages are parsed."""
+    seeds = materialize(I.domain_seeds(spark, sf_dir), "seeds")
+    return FR.expand_distinct(seeds, I.real_edges(spark, sf_dir, of=seeds), 1)
+
+
 @query
 def frontier_fetch(spark, sf_dir):
-    jobs = FR.expand_distinct(I.domain_seeds(spark, sf_dir), I.real_edges(spark, sf_dir), 1)
-    got = page_reader.fetch(jobs, I.pages(spark, sf_dir))
+    got = page_reader.fetch(_near_jobs(spark, sf_dir), I.pages(spark, sf_dir))
     return got.select("link_depth", "url", F.octet_length("html").cast("long").alias("n_bytes"))
 
 
@@ -304,7 +314,7 @@ def frontier_counts(spark, sf_dir):
 
 
 def _worker_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.web_edges(spark, sf_dir).withColumn("worker", F.col("page_id") % 8)
+    return I.page_edges(spark, sf_dir).withColumn("worker", F.col("page_id") % 8)
 
 
 @query
@@ -401,7 +411,7 @@ def pages_per_second(spark, sf_dir):
 
 @query
 def site_link_counts(spark, sf_dir):
-    return G.site_links(I.web_edges(spark, sf_dir))
+    return G.site_links(I.page_edges(spark, sf_dir))
 
 
 @query
@@ -453,8 +463,7 @@ def page_table(spark, sf_dir):
     for batch_id, rows in enumerate(
         [I.all_pages(spark, sf_dir).where("origin = 'crawl'"), I.all_pages(spark, sf_dir)]
     ):
-        parsed = P.parse(rows, ["url", *order])
-        page_sink.append_pages(page_sink.page_rows(parsed, keep=order), order, path, batch_id)
+        page_sink.store_pages(rows, order, path, batch_id)
     return page_sink.read_pages(spark, path)
 
 
@@ -463,23 +472,20 @@ def page_table_routed(spark, sf_dir):
     path = new_path(spark, "routed-pages")
     targets = ["database", "page_table"]
     submitted = _routed(spark, sf_dir, I.document_pages(spark, sf_dir))
-    parsed = P.parse(submitted, ["url", "page_id", *targets])
-    rows = page_sink.page_rows(parsed, keep=["page_id", *targets])
-    page_sink.append_pages(rows, ["page_id"], path, 0, targets)
-    return page_sink.read_pages(spark, path)
+    page_sink.store_pages(submitted, ["page_id"], path, 0, targets)
+    return page_sink.read_pages(spark, path, targets)
 
 
 @query
 def site_link_table(spark, sf_dir):
     path = new_path(spark, "site-links")
-    link_sink.write_site_links(link_sink.site_link_rows(I.web_edges(spark, sf_dir)), path)
+    link_sink.write_site_links(link_sink.site_link_rows(I.page_edges(spark, sf_dir)), path)
     return link_sink.read_site_links(spark, path)
 
 
 @query
 def raw_archive(spark, sf_dir):
-    jobs = FR.expand_distinct(I.domain_seeds(spark, sf_dir), I.real_edges(spark, sf_dir), 1)
-    got = page_reader.fetch(jobs, I.pages(spark, sf_dir))
+    got = page_reader.fetch(_near_jobs(spark, sf_dir), I.pages(spark, sf_dir))
     clock = T.format_time(F.lit("2024-01-02 03:04:05").cast("timestamp"), padded=False)
     return page_sink.archive(got, clock, "run1")
 
@@ -505,14 +511,14 @@ def page_json(spark, sf_dir):
 
 
 def _page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    I.pages(spark, sf_dir)
-    return ST.read_table(spark, sf_dir, "pages.parquet", "page_id bigint, url string, html string")
+    pin_settings(spark)
+    return ST.read_table(spark, f"{sf_dir}/pages.parquet", "page_id bigint, url string, html string")
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    I.pages(spark, sf_dir)
+    pin_settings(spark)
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-    events = ST.read_table(spark, sf_dir, "events.parquet", schema)
+    events = ST.read_table(spark, f"{sf_dir}/events.parquet", schema)
     n_links = F.get_json_object("props", "$.k")
     return joblog.job_log(events, F.col("user_id"), F.col("event_type"), F.col("ts").cast("timestamp"), n_links)
 
@@ -521,7 +527,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_parse(spark, sf_dir):
     path = new_path(spark, "stream-parse")
     ST.parse_pages(_page_stream(spark, sf_dir), ["page_id", "url"], path, "any_http").awaitTermination()
-    return spark.read.parquet(f"{path}/out").select(
+    return ST.read_parsed(spark, path, ["page_id bigint", "url string"]).select(
         "page_id", "title", _joined("links"), _joined("pruned_links"), "body_text"
     )
 
@@ -530,7 +536,7 @@ def stream_parse(spark, sf_dir):
 def stream_throughput(spark, sf_dir):
     path = new_path(spark, "stream-throughput")
     ST.throughput(_event_stream(spark, sf_dir), 3_600, "1 day", path).awaitTermination()
-    counted = ST.read_throughput(spark, path)
+    counted = ST.read_throughput(spark, path, "bigint")
     return counted.select("worker", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "jobs")
 
 
@@ -538,8 +544,7 @@ def stream_throughput(spark, sf_dir):
 def stream_sampler(spark, sf_dir):
     path = new_path(spark, "stream-sampler")
     ST.sampler(_event_stream(spark, sf_dir), I.DAY, path).awaitTermination()
-    closed = spark.read.parquet(f"{path}/out")
-    return S.dense(closed.drop("batch_id"))
+    return S.dense(ST.read_samples(spark, path, "bigint"))
 
 
 @query

@@ -38,6 +38,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Deal few small rows, each about to become many, over all tasks.
+
+    The number is given, as the adaptive planner would merge such small partitions again.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def _run_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/linkloom-{spark.sparkContext.applicationId}"
 

@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.urls import site_table_name
 from linkloom.operators.graph import site_links
-from linkloom.schemas import LINK_TO_WIDTH
 
 
 def site_link_rows(edges: DataFrame) -> DataFrame:
     """Stored link rows, with the name the site's own table would have."""
-    return site_links(edges, LINK_TO_WIDTH).select(
+    return site_links(edges).select(
         "site", site_table_name(F.col("site")).alias("site_table"), "link_to", "n_links"
     )
 

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from linkloom.operators import pages as P
 from linkloom.operators.records import clip_columns
 from linkloom.schemas import PARSED_COLUMNS, PARSED_PAGE
 
 PAGE_COLUMNS = ["page_url", *[c for c in PARSED_COLUMNS if c != "links"]]
 
 
-def page_rows(parsed: DataFrame, key: str = "url", keep: list[str] | None = None) -> DataFrame:
-    """Parsed pages as stored rows: keywords joined, columns cut to their widths."""
+def page_rows(
+    parsed: DataFrame, key: str = "url", keep: list[str] | None = None, widths: dict[str, int] | None = None
+) -> DataFrame:
+    """Parsed pages as stored rows, keywords joined. ``widths`` cuts columns, but never the key."""
     rows = parsed.withColumn("page_url", F.col(key)).withColumn("keywords", F.concat_ws(",", "keywords"))
-    return clip_columns(rows.select(*(keep or []), *PAGE_COLUMNS))
+    cut = {c: n for c, n in (widths or {}).items() if c != "page_url"}
+    return clip_columns(rows.select(*(keep or []), *PAGE_COLUMNS), cut)
 
 
 def first_writes(
@@ -37,10 +45,37 @@ def first_writes(
     return first.select(*keys, *[f"_first.{c}" for c in fields])
 
 
-def _stored(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+def _table_schema(targets: list[str] | None) -> T.StructType:
+    """Stored columns; a target named by digits stays text."""
+    texts = [T.StructField(c, T.StringType()) for c in [*PAGE_COLUMNS, *(targets or [])]]
+    return T.StructType([*texts, T.StructField("batch_id", T.LongType())])
+
+
+def _same(left: str, right: str, columns: list[str]) -> Column:
+    return reduce(and_, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+
+
+def new_pages(
+    pages: DataFrame, order_by: list[str], stored: DataFrame | None = None, targets: list[str] | None = None
+) -> DataFrame:
+    """Offered pages (url, html, ...) to store: of each url the earliest, unless it is stored.
+
+    Winners are chosen on the key and ``order_by`` alone, which must tell the offers of a
+    url apart; only they are read with their html. A page without url cannot be stored.
+    """
+    keys = [*(targets or []), "url"]
+    first = pages.where("url is not null").groupBy(*keys).agg(F.min(F.struct(*order_by)).alias("_first"))
+    if stored is not None:
+        known = stored.select(*(targets or []), F.col("page_url").alias("url"))
+        first = first.alias("new").join(known.alias("old"), _same("new", "old", keys), "left_anti")
+    wins = _same("offer", "first", keys) & F.struct(*[F.col(f"offer.{c}") for c in order_by]).eqNullSafe(F.col("first._first"))
+    return pages.alias("offer").join(first.alias("first"), wins, "left_semi")
+
+
+def _stored(spark: SparkSession, path: str, batch_id: int, targets: list[str] | None = None) -> DataFrame | None:
     """Keys stored by other batches, or None before the first write."""
     try:
-        return spark.read.parquet(path).where(F.col("batch_id") != batch_id)
+        return spark.read.schema(_table_schema(targets)).parquet(path).where(F.col("batch_id") != batch_id)
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -54,12 +89,38 @@ def append_pages(
 
     ``targets`` become folders below the batch, one per target table.
     """
-    new = first_writes(rows, order_by, _stored(rows.sparkSession, path, batch_id), targets)
-    new.write.mode("overwrite").partitionBy(*(targets or [])).parquet(f"{path}/batch_id={batch_id}")
+    _write(first_writes(rows, order_by, _stored(rows.sparkSession, path, batch_id, targets), targets), path, batch_id, targets)
+
+
+def store_pages(
+    pages: DataFrame,
+    order_by: list[str],
+    path: str,
+    batch_id: int,
+    targets: list[str] | None = None,
+    widths: dict[str, int] | None = None,
+) -> None:
+    """Parse and append the new ones of (url, html, ...) under ``path/batch_id=N``."""
+    new = new_pages(pages, order_by, _stored(pages.sparkSession, path, batch_id, targets), targets)
+    rows = page_rows(P.parse(new, ["url", *(targets or [])]), keep=targets, widths=widths)
+    _write(rows, path, batch_id, targets)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("batch_id")
+def _write(rows: DataFrame, path: str, batch_id: int, targets: list[str] | None) -> None:
+    if targets:  # one target's rows meet in few files, a popular target is split
+        rows = rows.hint("rebalance", *targets)
+    rows.write.mode("overwrite").partitionBy(*(targets or [])).parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_pages(spark: SparkSession, path: str, targets: list[str] | None = None) -> DataFrame:
+    schema = _table_schema(targets)
+    try:
+        table = spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        table = spark.createDataFrame([], schema)
+    return table.drop("batch_id")
 
 
 def archive(jobs: DataFrame, formatted_time: Column, prefix: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from linkloom.session import materialize
 
 
 def fetch(jobs: DataFrame, pages: DataFrame) -> DataFrame:
@@ -11,7 +11,9 @@ def fetch(jobs: DataFrame, pages: DataFrame) -> DataFrame:
 
     The page table is first cut to the wanted urls with a semi join, so a small
     job list is broadcast (Spark checks its size) and the html of other pages is
-    never shuffled. With a large job list both joins share one shuffle on url.
+    never shuffled. With a large job list both joins share one shuffle on url. The jobs
+    are stored first, as both joins read them.
     """
+    jobs = materialize(jobs, "jobs")
     wanted = pages.select("url", "html").join(jobs.select("url"), "url", "left_semi")
     return jobs.join(wanted, "url", "left")

@@ -9,25 +9,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from linkloom.functions import urls as U
 from linkloom.operators import pages as P
 from linkloom.operators import sampler as S
+from linkloom.schemas import PARSED_PAGE
 from linkloom.session import materialize
 from linkloom.sinks import pages as page_sink
 
 STATE = "worker {worker}, start bigint, last bigint, acc bigint, idx bigint, n_dropped bigint"
 
 
-def read_table(spark: SparkSession, folder: str, file_glob: str, schema: str) -> DataFrame:
-    """Stream of the Parquet files in a folder whose names match."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", file_glob)
-        .option("maxFilesPerTrigger", 1_000)
-        .parquet(folder)
-    )
+def read_table(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1_000) -> DataFrame:
+    """Stream of a Parquet table: a folder of part files, or a single file.
+
+    A plain path has to be a folder, a pattern may match either, so the last letter
+    is written as a pattern.
+    """
+    either = f"{path[:-1]}[{path[-1]}]"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(either)
+
+
+def _read_out(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What a stream has written; nothing yet is an empty table."""
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/out")
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def _start(writer: DataStreamWriter, path: str, available_now: bool) -> StreamingQuery:
@@ -44,6 +56,12 @@ def parse_pages(
     return _start(writer, path, available_now)
 
 
+def read_parsed(spark: SparkSession, path: str, keep: list[str]) -> DataFrame:
+    """Pages parsed so far; ``keep`` are the kept columns with their types."""
+    parsed = [f"{f.name} {f.dataType.simpleString()}" for f in PARSED_PAGE.fields]
+    return _read_out(spark, path, ", ".join([*keep, *parsed, "pruned_links array<string>"]))
+
+
 def throughput(
     log: DataFrame, rate_seconds: int, lateness: str, path: str, available_now: bool = True
 ) -> StreamingQuery:
@@ -65,9 +83,9 @@ def throughput(
     return _start(counted.writeStream.outputMode("update").foreachBatch(store), path, available_now)
 
 
-def read_throughput(spark: SparkSession, path: str) -> DataFrame:
+def read_throughput(spark: SparkSession, path: str, worker: str = "string") -> DataFrame:
     """Latest count of every window and worker."""
-    changes = spark.read.parquet(f"{path}/out")
+    changes = _read_out(spark, path, f"window_start timestamp, worker {worker}, jobs bigint, batch_id int")
     return changes.groupBy("window_start", "worker").agg(F.max_by("jobs", "batch_id").alias("jobs"))
 
 
@@ -89,8 +107,10 @@ def sampler(
         spark = batch.sparkSession
         state_path = f"{path}/state/slot={(batch_id - 1) % 2}"
         old = spark.read.schema(schema).parquet(state_path) if batch_id else spark.createDataFrame([], schema)
+        # Structs, so that the NULL worker meets its own state.
+        old = old.withColumn("worker", F.struct("worker"))
         arrived = materialize(
-            S.ticks(batch).join(old.select("worker", "last"), "worker", "left").withColumn(
+            S.ticks(batch).withColumn("worker", F.struct("worker")).join(old.select("worker", "last"), "worker", "left").withColumn(
                 "late", F.coalesce(F.col("t") < F.col("last"), F.lit(False))
             ),
             "arrived",
@@ -114,13 +134,14 @@ def sampler(
             ),
             "continued",
         )
-        closed = continued.where(~F.col("open")).select("worker", "start", "idx", "jobs", "slots", "since")
+        name = F.col("worker.worker").alias("worker")
+        closed = continued.where(~F.col("open")).select(name, "start", "idx", "jobs", "slots", "since")
         closed.write.mode("overwrite").parquet(f"{path}/out/batch_id={batch_id}")
         state = (
             continued.where("open")
             .join(dropped, "worker", "left")
             .select(
-                "worker",
+                name,
                 "start",
                 F.col("since").alias("last"),
                 F.col("jobs").alias("acc"),
@@ -133,14 +154,18 @@ def sampler(
     return _start(log.writeStream.outputMode("append").foreachBatch(step), path, available_now)
 
 
+def read_samples(spark: SparkSession, path: str, worker: str = "string") -> DataFrame:
+    """Samples closed so far."""
+    return _read_out(spark, path, f"worker {worker}, start bigint, idx bigint, jobs bigint, slots bigint, since bigint")
+
+
 def store_pages(
     pages: DataFrame, order_by: list[str], path: str, available_now: bool = True
 ) -> StreamingQuery:
     """Store each page as it is processed; the first write of a url wins."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        parsed = P.parse(batch, ["url", *order_by])
-        page_sink.append_pages(page_sink.page_rows(parsed, keep=order_by), order_by, f"{path}/out", batch_id)
+        page_sink.store_pages(batch, order_by, f"{path}/out", batch_id)
 
     return _start(pages.writeStream.outputMode("append").foreachBatch(store), path, available_now)
 
@@ -160,4 +185,6 @@ def totals(log: DataFrame, path: str, available_now: bool = True) -> StreamingQu
 def read_totals(spark: SparkSession, path: str) -> DataFrame:
     """Totals after the latest batch."""
     latest = F.max_by(F.struct("n_processed", "n_discovered"), "batch_id").alias("t")
-    return spark.read.parquet(f"{path}/out").agg(latest).select("t.*")
+    written = _read_out(spark, path, "n_processed bigint, n_discovered bigint, batch_id int")
+    none = F.lit(0).cast("bigint")
+    return written.agg(latest).select(*[F.coalesce(f"t.{c}", none).alias(c) for c in ("n_processed", "n_discovered")])

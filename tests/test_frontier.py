@@ -85,9 +85,12 @@ def test_queue_order(spark, dedupe, max_jobs):
     assert got == [(i, depth, url) for i, (depth, url) in enumerate(want)]
 
 
-def test_unlimited_queue_is_refused(spark):
-    with pytest.raises(ValueError):
-        FR.expand_fifo(seed_table(spark, ["a"]), edge_table(spark, SMALL), 2, 0)
+@pytest.mark.parametrize("max_jobs", [0, -1])
+def test_budget_below_one_is_no_limit(spark, max_jobs):
+    seeds, edges = random_graph(3)
+    got = FR.expand_fifo(seed_table(spark, seeds), edge_table(spark, edges), 2, max_jobs)
+    got = [(r.position, r.link_depth, r.url) for r in got.orderBy("position").collect()]
+    assert got == [(i, depth, url) for i, (depth, url) in enumerate(crawl(seeds, edges, 2))]
 
 
 def test_depth_totals(spark):

@@ -35,6 +35,12 @@ def test_running_sums_across_files(spark, many_files):
     assert {r.i: (r.total, r.nth) for r in got.collect()} == want
 
 
+def test_running_sums_of_a_null_group(spark, many_files):
+    rows = spark.createDataFrame([(None, i, 1) for i in range(400)], "g string, i bigint, v bigint").repartition(4)
+    got = O.with_running_sums(rows, ["g"], ["i"], {"total": "v"})
+    assert {r.i: r.total for r in got.collect()} == {i: i + 1 for i in range(400)}
+
+
 def test_random_order_is_a_repeatable_permutation(spark):
     a = {r.id: r.position for r in O.random_order(spark.range(500), "id", seed=1).collect()}
     b = {r.id: r.position for r in O.random_order(spark.range(500).repartition(7), "id", seed=1).collect()}

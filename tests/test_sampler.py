@@ -34,6 +34,24 @@ def dense(spark, times_by_worker, rate, fold_limit):
     return {w: [v[i] for i in range(len(v))] for w, v in out.items()}
 
 
+@pytest.mark.parametrize("fold_limit", [1_000, 20, 0])
+def test_null_times_and_workers(spark, fold_limit):
+    rng = random.Random(4)
+    log = [(rng.choice([None, "a", "b"]), None if rng.random() < 0.1 else rng.randrange(900 * S.SECOND)) for _ in range(200)]
+    table = spark.createDataFrame(log, "worker string, us bigint").withColumn("processed_at", F.timestamp_micros("us"))
+    rows = S.dense(S.samples(S.ticks(table), 60, fold_limit)).collect()
+    got = {w: [r.jobs for r in sorted((r for r in rows if r.worker == w), key=lambda r: r.idx)] for w in (None, "a", "b")}
+    assert got == {w: brute([t for v, t in log if v == w and t is not None], 60 * S.SECOND) for w in (None, "a", "b")}
+    lost = {r.worker: r.n_untimed for r in S.untimed(table).collect()}
+    assert lost == {w: sum(v == w and t is None for v, t in log) for w in (None, "a", "b")}
+
+
+def test_long_gaps_are_spread(spark):
+    rows = S.dense(S.samples(tick_table(spark, {"a": [0, 3_000_000 * S.SECOND]}), 1))
+    assert rows.withColumn("p", F.spark_partition_id()).select("p").distinct().count() > 1
+    assert rows.count() == 3_000_001
+
+
 @pytest.mark.parametrize("fold_limit", [1_000, 0])
 def test_golden(spark, fold_limit):
     s = S.SECOND

@@ -69,12 +69,38 @@ def test_first_writes_shuffle_once(spark, tmp_path):
     assert "ReadSchema: struct<page_url:string>" in plan
 
 
-def test_long_urls_share_their_stored_key(spark):
-    html = "<meta name=title content=t><body>b"
-    pages = spark.createDataFrame([(1, "u" * 80 + "1", html), (2, "u" * 80 + "2", html)], "id int, url string, html string")
-    rows = page_sink.page_rows(P.parse(pages, ["id", "url"]), keep=["id"])
-    first = page_sink.first_writes(rows, ["id"]).collect()
-    assert len(first) == 1 and len(first[0].page_url) == PAGE_WIDTHS["page_url"]
+OFFER = "id int, url string, html string"
+
+
+def test_long_urls_and_texts_are_stored_whole(spark, tmp_path):
+    html = f"<meta name=title content={'t' * 200}><body>b"
+    pages = spark.createDataFrame([(1, "u" * 80 + "1", html), (2, "u" * 80 + "2", html)], OFFER)
+    page_sink.store_pages(pages, ["id"], f"file://{tmp_path}/whole", 0)
+    rows = page_sink.read_pages(spark, f"file://{tmp_path}/whole").collect()
+    assert sorted(r.page_url for r in rows) == ["u" * 80 + "1", "u" * 80 + "2"]
+    assert {len(r.title) for r in rows} == {200}
+    page_sink.store_pages(pages, ["id"], f"file://{tmp_path}/cut", 0, widths=PAGE_WIDTHS)
+    rows = page_sink.read_pages(spark, f"file://{tmp_path}/cut").collect()
+    assert {(len(r.page_url), len(r.title)) for r in rows} == {(81, 100)}
+
+
+def test_targets_named_by_digits_stay_text(spark, tmp_path):
+    path = f"file://{tmp_path}/pages"
+    pages = spark.createDataFrame([(1, "u", "<body>b"), (2, "u", "<body>c"), (3, None, "<body>d")], OFFER)
+    for batch_id in range(2):
+        page_sink.store_pages(pages.withColumn("database", F.lit("01")), ["id"], path, batch_id, ["database"])
+    assert [(r.database, r.page_url, r.body_text) for r in page_sink.read_pages(spark, path, ["database"]).collect()] == [("01", "u", "b")]
+
+
+def test_only_winners_are_parsed(spark):
+    pages = spark.createDataFrame([(1, "u", "<body>b"), (2, "u", "<body>c")], OFFER)
+    parsed = page_sink.page_rows(P.parse(page_sink.new_pages(pages, ["id"]), ["url"]))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan[plan.index("LeftSemi") :].lower()
+
+
+def test_nothing_stored_yet_is_an_empty_table(spark, tmp_path):
+    assert page_sink.read_pages(spark, f"file://{tmp_path}/none").collect() == []
 
 
 def test_clip_columns(spark):

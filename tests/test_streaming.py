@@ -96,6 +96,22 @@ def page_batches():
     ]
 
 
+def test_tables_are_folders_or_files_and_may_be_empty(spark, tmp_path):
+    write_batches(spark, tmp_path / "pages.parquet", page_batches(), PAGES)
+    one = next((tmp_path / "pages.parquet").glob("part-*"))
+    for n, (table, rows) in enumerate([(tmp_path / "pages.parquet", 5), (one, None)]):
+        path = f"file://{tmp_path}/run{n}"
+        ST.parse_pages(ST.read_table(spark, f"file://{table}", PAGES, 1), ["page_id"], path).awaitTermination()
+        got = ST.read_parsed(spark, path, ["page_id bigint"])
+        assert got.count() == (rows or spark.read.parquet(f"file://{one}").count())
+    spark.createDataFrame([], PAGES).write.parquet(f"file://{tmp_path}/none.parquet")
+    path = f"file://{tmp_path}/run-empty"
+    ST.store_pages(ST.read_table(spark, f"file://{tmp_path}/none.parquet", PAGES), ["page_id"], path).awaitTermination()
+    assert page_sink.read_pages(spark, f"{path}/out").collect() == []
+    assert ST.read_samples(spark, path).collect() == []
+    assert tuple(ST.read_totals(spark, f"{path}/x").first()) == (0, 0)
+
+
 def test_parse_equals_batch(spark, tmp_path):
     write_batches(spark, tmp_path / "in", page_batches(), PAGES)
     path = f"file://{tmp_path}/run"
