@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkloom.functions import urls as U
 from linkloom.operators import frontier as FR
 from linkloom.operators import pages as P
+from linkloom.operators.ordering import with_position
 from linkloom.session import materialize
 
 
@@ -46,12 +47,22 @@ def crawl(
     dedupe: bool = False,
     rule: str = "http",
     resolve_links: bool = False,
+    max_jobs: int = 0,
+    prune_seeds: bool = False,
+    on_missing: str = "keep",
 ) -> Crawl:
     """Crawl (url, html) pages, one row per url, from seed urls.
 
     Every page is parsed once and written without its html; links, jobs and page
-    rows all come from that table.
+    rows all come from that table. From one on, ``max_jobs`` keeps the first jobs in queue
+    order; seeds then come by their ``position``, or by url without one. ``prune_seeds``
+    puts the seeds under the rule of the links. With ``on_missing`` "drop", urls without a
+    page are left out of the pages and of the summary.
     """
+    if on_missing not in ("keep", "drop"):
+        raise ValueError("on_missing must be 'keep' or 'drop'")
+    if prune_seeds:
+        seeds = seeds.where(F.size(U.prune(F.array("url"), rule)) > 0)
     parsed = materialize(P.parse(pages, ["url"]), "parsed")
     links = F.col("links")
     if resolve_links:
@@ -60,7 +71,11 @@ def crawl(
     edges = kept.select(F.col("url").alias("src"), F.posexplode_outer("kept").alias("pos", "dst")).where(
         "pos is not null"
     )
-    if dedupe:
+    if max_jobs > 0:
+        placed = seeds if "position" in seeds.columns else with_position(seeds.select("url"), ["url"])
+        queue = FR.expand_fifo(placed, edges, max_depth, max_jobs, dedupe)
+        jobs = queue.groupBy("link_depth", "url").agg(F.count("*").alias("n_jobs"))
+    elif dedupe:
         jobs = FR.expand_distinct(seeds, edges, max_depth).withColumn("n_jobs", F.lit(1).cast("long"))
     else:
         jobs = FR.expand_all(seeds, edges, max_depth)
@@ -75,4 +90,5 @@ def crawl(
     absent = {"fetched": F.coalesce("fetched", F.lit(False))}
     absent |= {c: F.coalesce(c, F.lit(0)) for c in ("n_links", "n_pruned")}
     absent |= {c: F.coalesce(c, F.array().cast("array<string>")) for c in ("links", "keywords")}
-    return Crawl(jobs, wanted.join(known, "url", "left").withColumns(absent), edges)
+    fetched = wanted.join(known, "url", "left" if on_missing == "keep" else "inner").withColumns(absent)
+    return Crawl(jobs, fetched, edges)

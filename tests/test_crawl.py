@@ -42,3 +42,15 @@ def test_crawl(spark, dedupe, resolve, want):
         assert (gone.fetched, gone.title, gone.links, gone.n_links) == (False, None, [], 0)
         summary = {tuple(r) for r in done.depth_summary().collect()}
         assert summary == {(0, 1, 1, 4, 2), (1, 2, 2, 4, 4), (2, 4, 3, 6, 4)}
+
+
+def test_crawl_options(spark):
+    page = "<body><a href=http://b/><a href=http://c/><a href=ftp://d/>"
+    pages = spark.createDataFrame([("http://a/", page), ("http://b/", page)], "url string, html string")
+    seeds = spark.createDataFrame([("http://a/",), ("ftp://x/",)], "url string")
+    every = crawl(seeds, pages, 1)
+    assert {r.url for r in every.jobs.collect()} == {"http://a/", "ftp://x/", "http://b/", "http://c/"}
+    few = crawl(seeds, pages, 2, max_jobs=3, prune_seeds=True, on_missing="drop")
+    assert sorted((r.link_depth, r.url) for r in few.jobs.collect()) == [(0, "http://a/"), (1, "http://b/"), (1, "http://c/")]
+    assert {r.url for r in few.pages.collect()} == {"http://a/", "http://b/"}
+    assert {r.link_depth: r.n_jobs for r in few.depth_summary().collect()} == {0: 1, 1: 1}
