@@ -51,19 +51,19 @@ def _attribute(tag: str, name: str) -> str:
 
 LINK = rf"<(?:{_attribute('a', 'href')}{_INSIDE}>|{_TAG})"
 
-# Entities decoded in attribute values (fixed values); &amp; comes last.
-ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&#x27;", "'"),
-    ("&#34;", '"'),
-    ("&nbsp;", " "),
-    ("&#38;", "&"),
-    ("&amp;", "&"),
-]
+# Named entities decoded in attribute values (fixed values); pages are in lower case.
+ENTITIES = {
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
+    "copy": "©", "reg": "®", "trade": "™", "hellip": "…", "ndash": "–", "mdash": "—", "bull": "•", "middot": "·",
+    "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»",
+    "euro": "€", "pound": "£", "yen": "¥", "cent": "¢", "sect": "§", "deg": "°", "plusmn": "±", "times": "×",
+    "agrave": "à", "aacute": "á", "acirc": "â", "atilde": "ã", "auml": "ä", "aring": "å", "aelig": "æ", "ccedil": "ç",
+    "egrave": "è", "eacute": "é", "ecirc": "ê", "euml": "ë", "igrave": "ì", "iacute": "í", "icirc": "î", "iuml": "ï",
+    "ntilde": "ñ", "ograve": "ò", "oacute": "ó", "ocirc": "ô", "otilde": "õ", "ouml": "ö", "oslash": "ø",
+    "ugrave": "ù", "uacute": "ú", "ucirc": "û", "uuml": "ü", "yacute": "ý", "yuml": "ÿ", "szlig": "ß",
+}
+# An entity, the text up to the next one, or a bare ampersand.
+ENTITY_OR_TEXT = r"&#x[0-9a-f]{1,6};|&#[0-9]{1,7};|&[a-z]{2,8};|[^&]++|&"
 
 
 def document(html: Column) -> Column:
@@ -76,10 +76,24 @@ def _groups(doc: Column, pattern: str) -> Column:
     return F.filter(F.regexp_extract_all(doc, F.lit(pattern), 1), lambda found: found != "")
 
 
+def _character(code: Column) -> Column:
+    """The character of a code point, NULL if there is none; a hard blank is a blank."""
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(code == 160, F.lit(" ")).when(valid, character)
+
+
+def _decoded(piece: Column) -> Column:
+    named = F.create_map(*[F.lit(x) for name, char in ENTITIES.items() for x in (f"&{name};", char)])
+    digits = F.regexp_extract(piece, r"\A&#x?([0-9a-f]+);", 1)
+    code = F.when(piece.startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+    return F.coalesce(F.when(piece.startswith("&#"), _character(code)).otherwise(named[piece]), piece)
+
+
 def decode(value: Column) -> Column:
-    decoded = value
-    for entity, char in ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    """Every entity once, from left to right; what is none stays as written."""
+    pieces = F.regexp_extract_all(value, F.lit(ENTITY_OR_TEXT), 0)
+    decoded = F.array_join(F.transform(pieces, lambda p: F.when(p.startswith("&"), _decoded(p)).otherwise(p)), "")
     return F.when(value.contains("&"), decoded).otherwise(value)
 
 

@@ -154,3 +154,19 @@ def test_links_read_two_columns(spark, tmp_path):
     pages(spark, META).withColumn("other", F.lit(1)).write.parquet(path)
     plan = P.links(spark.read.parquet(path), ["page_id"])._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<page_id:bigint,html:string>" in plan
+
+
+def test_entities_are_decoded_once(spark):
+    cases = {
+        "http:&#x2f;&#47;h/": "http://h/",
+        "&#38;amp;": "&amp;",
+        "a&amp;lt;b": "a&lt;b",
+        "&eacute;&hellip;&unknown;&": "é…&unknown;&",
+        "&#x1f600;&#233;&#160;&nbsp;": "😀é  ",
+        "&#0;&#xd800;&#9999999;&#;": "&#0;&#xd800;&#9999999;&#;",
+        "&& &lt": "&& &lt",
+        "plain": "plain",
+    }
+    html = "".join(f'<a href="{raw}">' for raw in cases)
+    pages = spark.createDataFrame([(1, html)], "id int, html string")
+    assert P.parse(pages, ["id"]).first().links == list(cases.values())
