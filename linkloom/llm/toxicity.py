@@ -25,7 +25,7 @@ from linkloom.llm import common
 from linkloom.session import materialize
 
 #: Labelled documents of a class that may be examples.
-PER_CLASS, SEED = 1500, 9
+PER_CLASS, SEED = 1000, 9
 NEIGHBOURS, BLOCK, THRESHOLD = 10, 64, 0.5
 #: Least association of a word with a class (chi-square of one degree), and words at most.
 ASSOCIATION, LIFT, VOCABULARY, LEAST_EXAMPLES = 25.0, 4.0, 4096, 3
@@ -73,7 +73,8 @@ def separating_words(bags: list[list[str]], y: np.ndarray) -> list[str]:
     """Terms that speak for class 1: clearly associated with it and ``LIFT`` times as frequent
     there, families counted once per class. Of terms in the same families the longest stands."""
     family = families(bags)
-    tally = Counter(t for bag in bags for t in {t for w in bag for t in terms_of(w)})
+    # Only terms that some examples of class 1 share can speak for it; the others are not held.
+    tally = Counter(t for bag, c in zip(bags, y.tolist(), strict=True) if c for t in {t for w in bag for t in terms_of(w)})
     often = {t for t, n in tally.items() if n >= LEAST_EXAMPLES}
     del tally
     seen = defaultdict(set)
