@@ -1,10 +1,12 @@
 """Licence recognition by sentences and rules, with built-in expressions only.
 
-A text is split into sentences; those that carry a licence word are normalised (ASCII letters
-in lower case, digits, single blanks) and looked up among the known licence sentences. The
+A text is split where a sentence can end; the pieces are normalised (ASCII letters in lower
+case, digits, single blanks). A known licence sentence is one piece or several in a row, so line
+ends, comment marks, colons, semicolons and "v." inside it do not hide it; the longest known
+sentence at a piece wins. The
 identifiers found, in order, form a row that is matched against ordered rules: a rule is
 a row of identifiers and consumes what it matches, so a full text wins over a mere reference.
-Every known sentence carries a licence word, so the first step loses none.
+Every known sentence carries a licence word, so texts without one are not split.
 """
 
 from __future__ import annotations
@@ -79,8 +81,11 @@ RULES = (
     ("CC-BY-NC-4.0", ("ccByNcRef",)),
     ("All-rights-reserved", ("allRights",)),
 )
-#: A sentence ends at punctuation before white space, or at a line end.
+#: A sentence can end at punctuation before white space, or at a line end.
 SENTENCE_END = r"[.!?;:]+[ \t]+|[.!?;:]*[\r\n]+"
+#: Known sentences, longest first, in a row of normalised pieces, each after its mark; they begin and
+#: end with a piece, and may be cut into pieces between any two words.
+KNOWN = "[+-](?:" + "|".join(s.replace(" ", "[ +-]") for s in sorted(SENTENCES, key=len, reverse=True)) + ")(?![^+-])"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -105,7 +110,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     licences lists the rules that matched, in rule order, without repeats of one rule, joined by a
     semicolon; sentence_ids the known sentences in text order; n_unknown counts
-    sentences with a licence word that are not known. NULL and empty texts, and texts without
+    pieces with a licence word that are in no known sentence. NULL and empty texts, and texts without
     such sentences, give empty text and zeros. Repeated rows stay; an empty table
     gives no rows; other columns are not read.
     """
@@ -113,18 +118,25 @@ def scan(docs: DataFrame) -> DataFrame:
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     rules = F.array(*[F.struct(F.lit(n).alias("licence"), F.lit(marked(ids)).alias("ids")) for n, ids in RULES])
     lower = docs.select("doc_id", F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER).alias("_lower"))
-    picked = lower.select(
+    # "rights reserved" may be wrapped; the other licence words are single words.
+    some = _carries(F.col("_lower")) | F.col("_lower").contains("reserved")
+    pieces = F.transform(
+        F.split("_lower", SENTENCE_END),
+        lambda s: F.concat(F.when(_carries(s), F.lit("+")).otherwise(F.lit("-")), _normal(s)),
+    )
+    laid = lower.select("doc_id", F.when(some, F.concat_ws("", F.filter(pieces, lambda p: p != "-"))).alias("_row"))
+    named = laid.select(
         "doc_id",
-        F.when(
-            _carries(F.col("_lower")),
-            F.filter(F.split("_lower", SENTENCE_END), _carries),
-        ).alias("_some"),
+        F.transform(
+            F.regexp_extract_all("_row", F.lit(KNOWN), F.lit(0)),
+            lambda s: F.element_at(known, F.ltrim(F.translate(s, "+-", "  "))),
+        ).alias("_ids"),
+        F.regexp_count(F.regexp_replace("_row", KNOWN, ""), F.lit("[+]")).alias("_left"),
     )
-    named = picked.select("doc_id", F.transform("_some", lambda s: F.element_at(known, _normal(s))).alias("_ids"))
     counted = named.select(
         "doc_id",
-        F.coalesce(F.filter("_ids", lambda i: i.isNotNull()), F.array().cast("array<string>")).alias("_known"),
-        F.coalesce(F.size(F.filter("_ids", lambda i: i.isNull())), F.lit(0)).alias("_unknown"),
+        F.coalesce("_ids", F.array().cast("array<string>")).alias("_known"),
+        F.coalesce("_left", F.lit(0)).alias("_unknown"),
     )
     start = F.struct(
         F.concat_ws("", F.transform("_known", lambda i: F.concat(F.lit("<"), i, F.lit(">")))).alias("rest"),
@@ -144,5 +156,5 @@ def scan(docs: DataFrame) -> DataFrame:
         F.coalesce(matched, F.lit("")).alias("licences"),
         F.concat_ws(";", "_known").alias("sentence_ids"),
         F.size("_known").cast("long").alias("n_known"),
-        F.greatest(F.col("_unknown"), F.lit(0)).cast("long").alias("n_unknown"),
+        F.col("_unknown").cast("long").alias("n_unknown"),
     )
