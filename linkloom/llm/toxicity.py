@@ -1,11 +1,13 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
-Examples are a bounded sample of labelled documents (``PER_CLASS`` each). Vectors
-use the words and beginnings of words that separate the classes among them; families of near copies count once in
-that choice, so one copied text cannot make its own words look toxic. Document
+Examples are a bounded sample of labelled documents (``PER_CLASS`` each). Every example is
+indexed with all its words and beginnings of words. Terms weigh more the clearer they are associated with the toxic
+class; families of near copies count once in that, so one copied text cannot make its own words look toxic. No
+term weighs nothing, so a copy of an example always finds it. Document
 frequencies come from all documents. Examples sit in an inverted index in blocks, each term with its
 largest weight per block: a block is read only while its bound reaches the k-th best
-similarity, so the neighbours are exact. Votes weigh by similarity and by the share of their class, and
+similarity, so the neighbours are exact. The most frequent terms, which every block has, are whole columns
+instead and are multiplied for many documents at once. Votes weigh by a power of similarity and by the share of their class, and
 are calibrated on the examples themselves, each scored without itself.
 """
 
@@ -13,8 +15,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +30,17 @@ from linkloom.session import materialize
 #: Labelled documents of a class that may be examples.
 PER_CLASS, SEED = 1000, 9
 NEIGHBOURS, BLOCK, THRESHOLD = 10, 64, 0.5
-#: Least association of a word with a class (chi-square of one degree), and words at most.
-ASSOCIATION, LIFT, VOCABULARY, LEAST_EXAMPLES = 25.0, 4.0, 4096, 3
+#: Association (chi-square of one degree) and lift from which a term has its full weight, and the part of it that any term has.
+ASSOCIATION, LIFT, LEAST_PART = 25.0, 4.0, 0.01
 #: Near copies agree in all least hashes of one of the bands.
 BANDS, BAND_ROWS = 8, 8
-#: Vote of one neighbour of similarity one that speaks for the overall share.
-PRIOR_VOTE = 0.05
+#: Vote that speaks for the overall share, in votes of the lightest example; power of the similarity in a vote.
+PRIOR_VOTE, SHARPNESS = 0.05, 4
+#: Blocks that are read before others are ruled out; most frequent terms, held as whole columns, and the least part of examples with one.
+FIRST_BLOCKS, COLUMNS, COLUMN_PART = 4, 1024, 1 / 16
 #: Letters of the beginnings of words that are terms too, and words a worker remembers.
 STEMS, CACHED_WORDS = range(3, 9), 300_000
+_ROWS = 1 << 16
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -69,89 +75,156 @@ def families(bags: list[list[str]]) -> np.ndarray:
     return np.array([root(i) for i in range(len(bags))])
 
 
-def separating_words(bags: list[list[str]], y: np.ndarray) -> list[str]:
-    """Terms that speak for class 1: clearly associated with it and ``LIFT`` times as frequent
-    there, families counted once per class. Of terms in the same families the longest stands."""
-    family = families(bags)
-    # Only terms that some examples of class 1 share can speak for it; the others are not held.
-    tally = Counter(t for bag, c in zip(bags, y.tolist(), strict=True) if c for t in {t for w in bag for t in terms_of(w)})
-    often = {t for t, n in tally.items() if n >= LEAST_EXAMPLES}
-    del tally
-    seen = defaultdict(set)
-    for bag, f, c in zip(bags, family.tolist(), y.tolist(), strict=True):
-        for t in {t for w in bag for t in terms_of(w)} & often:
-            seen[t].add((f, c))
-    every = set(zip(family.tolist(), y.tolist(), strict=True))
-    n0, n1 = (sum(c == k for _, c in every) for k in (0, 1))
-    best: dict[frozenset, tuple] = {}
-    for w, where in seen.items():
-        rows, has = len(where), sum(c for _, c in where)
-        expected = n1 * rows / (n0 + n1)
-        spread = expected * (n0 / (n0 + n1)) * (1 - rows / (n0 + n1))
-        strength = (has - expected) ** 2 / spread if spread > 0 else 0.0
-        if strength >= ASSOCIATION and (has + 0.5) * n0 >= LIFT * (rows - has + 0.5) * n1:
-            key = frozenset(where)
-            best[key] = min(best.get(key, (0, 1, "")), (-strength, -len(w), w))
-    return [w for *_, w in sorted(best.values())[:VOCABULARY]]
+def parts(terms: list[str], rows: np.ndarray, of: np.ndarray, family: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Part of its weight that each term has, from the cells (``rows``, term number ``of``) of all
+    examples: rising to one with its association with class 1, families counted once per class.
+    Of terms in the same families the longest stands for all."""
+    places, place = np.unique(family * 2 + y, return_inverse=True)
+    toxic = places % 2
+    n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
+    part = np.full(len(terms), LEAST_PART)
+    if not n0 or not n1:
+        return part
+    cells = np.unique(of.astype(np.int64) * len(places) + place[rows])
+    at, where = cells // len(places), cells % len(places)
+    seen = np.bincount(at, minlength=len(terms)).astype(float)
+    has = np.bincount(at, toxic[where], len(terms))
+    expected = n1 * seen / (n0 + n1)
+    spread = expected * (n0 / (n0 + n1)) * (1 - seen / (n0 + n1))
+    strength = np.where(spread > 0, (has - expected) ** 2 / np.maximum(spread, 1e-300), 0.0)
+    lift = (has + 0.5) * n0 / ((seen - has + 0.5) * n1)
+    wanted = np.where(lift >= LIFT, np.minimum(strength / ASSOCIATION, 1.0) ** 2, 0.0)
+    key = np.zeros(len(terms), np.uint64)
+    np.add.at(key, at, np.random.default_rng(SEED).integers(1 << 63, size=len(places)).astype(np.uint64)[where])
+    best: dict[int, tuple] = {}
+    for t in np.flatnonzero(wanted > LEAST_PART).tolist():
+        k = int(key[t])
+        best[k] = min(best.get(k, (1, "", 0)), (-len(terms[t]), terms[t], t))
+    for *_, t in best.values():
+        part[t] = wanted[t]
+    return part
 
 
 def weights(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF of one document, of length one."""
+    """TF-IDF of one document, of length one; ``idf`` has the parts of the terms in it."""
     w = (1 + np.log(counts)) * idf[terms]
     return w / np.sqrt((w * w).sum())
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
 class BlockMaxIndex:
     """Unit vectors of examples by term, in blocks with the largest weight of each term."""
 
     def __init__(self, ids: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, vote: np.ndarray, n_terms: int):
         self.ids, self.y, self.vote = ids, y, vote
-        n_blocks = -(-len(ids) // BLOCK)
-        self.largest = np.zeros((n_terms, n_blocks))
-        lists = defaultdict(lambda: ([], []))
-        for row, (terms, w) in enumerate(vectors):
-            for t, x in zip(terms.tolist(), w.tolist(), strict=True):
-                rows, values = lists[t, row // BLOCK]
-                rows.append(row % BLOCK)
-                values.append(x)
-                self.largest[t, row // BLOCK] = max(self.largest[t, row // BLOCK], x)
-        self.lists = {key: (np.array(r), np.array(v)) for key, (r, v) in lists.items()}
-
-    def search(self, terms: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        self.n_blocks = -(-len(ids) // BLOCK)
+        terms = np.concatenate([t for t, _ in vectors]) if vectors else np.empty(0, np.int64)
+        rows = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(t) for t, _ in vectors])
+        # Frequent terms: one column each, in the number of the term's column.
+        often = np.bincount(terms, minlength=n_terms)
+        held = np.argsort(-often, kind="stable")[:COLUMNS]
+        held = held[often[held] >= max(1, COLUMN_PART * len(ids))]
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[held] = np.arange(len(held))
+        weight = np.concatenate([w for _, w in vectors]) if vectors else np.empty(0)
+        of = self.column[terms]
+        self.columns = np.zeros((len(held), len(ids)))
+        self.columns[of[of >= 0], rows[of >= 0]] = weight[of >= 0]
+        terms, rows, weight = terms[of < 0], rows[of < 0], weight[of < 0]
+        order = np.argsort(terms, kind="stable")  # rows ascend within a term
+        terms, self.rows = terms[order], rows[order]
+        self.values = weight[order]
+        # A cell is a term in a block; cells of a term and entries of a cell lie together.
+        key = terms * max(1, self.n_blocks) + self.rows // BLOCK
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
+        self.starts = np.append(first, len(key)).astype(np.int32)
+        self.blocks = (self.rows[first] // BLOCK).astype(np.int32)
+        self.largest = np.maximum.reduceat(self.values, first) if len(first) else np.empty(0)
+        self.cells = np.searchsorted(terms[first], np.arange(n_terms + 1)).astype(np.int32)
+
+    def column_sums(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the frequent terms add to the cosines of some documents with all examples."""
+        wanted = np.zeros((len(vectors), len(self.columns)))
+        for row, (terms, w) in zip(wanted, vectors, strict=True):
+            of = self.column[terms]
+            row[of[of >= 0]] = w[of >= 0]
+        return wanted @ self.columns
+
+    def search(self, terms: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, skip: int = -1, sums: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the k nearest examples with a common term, and their cosines; ties go
-        to the earlier row. ``skip`` leaves one row out."""
-        bounds = w @ self.largest[terms]
-        rows, sims = np.empty(0, np.int64), np.empty(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(rows) == k and bounds[block] < sims[-1] - 1e-12):
+        to the earlier row. ``skip`` leaves one row out; ``sums`` is its row of ``column_sums``."""
+        sums = self.column_sums([(terms, w)])[0] if sums is None else sums
+        rare = self.column[terms] < 0
+        terms, w = terms[rare], w[rare]
+        n_cells = self.cells[terms + 1] - self.cells[terms]
+        starts = self.starts[self.cells[terms]]
+        lengths = self.starts[self.cells[terms + 1]] - starts
+        if lengths.sum() <= 2 * n_cells.sum():  # bounds would cost as much as the lists themselves
+            return self._best(sums + self._read(starts, lengths, w), k, skip)
+        cells, x = _ranges(self.cells[terms], n_cells), np.repeat(w, n_cells)
+        blocks = self.blocks[cells]
+        bounds = np.bincount(blocks, self.largest[cells] * x, self.n_blocks) + np.maximum.reduceat(sums, np.arange(0, len(sums), BLOCK))
+        order = np.argsort(-bounds, kind="stable")
+        rows, found = np.empty(0, np.int64), np.empty(0)
+        for wave in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
+            reached = bounds[wave] > 0
+            if len(rows) == k:
+                reached &= bounds[wave] >= found[-1] - 1e-12
+            read = np.zeros(self.n_blocks, bool)
+            read[wave[reached]] = True
+            if not read.any():
                 break
-            got = np.zeros(BLOCK)
-            for t, x in zip(terms.tolist(), w.tolist(), strict=True):
-                held = self.lists.get((t, int(block)))
-                if held is not None:
-                    got[held[0]] += x * held[1]
-            at = np.flatnonzero(got)
-            some = at + block * BLOCK
-            keep = some != skip
-            rows, sims = np.concatenate((rows, some[keep])), np.concatenate((sims, got[at[keep]]))
-            order = np.lexsort((rows, -np.round(sims, 12)))[:k]
-            rows, sims = rows[order], sims[order]
-        return rows, sims
+            some = read[blocks]
+            starts = self.starts[cells[some]]
+            got = self._read(starts, self.starts[cells[some] + 1] - starts, x[some])
+            at, got = self._best(got + np.where(np.repeat(read, BLOCK)[: len(sums)], sums, 0.0), k, skip)
+            rows, found = np.concatenate((rows, at)), np.concatenate((found, got))
+            best = np.lexsort((rows, -np.round(found, 12)))[:k]
+            rows, found = rows[best], found[best]
+        return rows, found
+
+    def _read(self, starts: np.ndarray, lengths: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Sums over ranges of entries, each range times its ``x``."""
+        entries = _ranges(starts, lengths)
+        return np.bincount(self.rows[entries], self.values[entries] * np.repeat(x, lengths), len(self.ids))
+
+    @staticmethod
+    def _best(sums: np.ndarray, k: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.flatnonzero(sums)
+        if len(rows) > 4 * k:  # none below the k-th best, one left out, can be among the nearest
+            rows = rows[sums[rows] >= np.partition(sums[rows], -k - 1)[-k - 1] - 1e-11]
+        rows = rows[rows != skip]
+        best = np.lexsort((rows, -np.round(sums[rows], 12)))[:k]
+        return rows[best], sums[rows[best]]
 
 
 class ToxicityModel:
-    def __init__(self, vocabulary: list[str], idf: np.ndarray, index: BlockMaxIndex | None, share: float, slope: float = 1.0, offset: float = 0.0):
+    def __init__(self, vocabulary: list[str], idf: np.ndarray, index: BlockMaxIndex | None, share: float, bare: float = 0.0, slope: float = 1.0, offset: float = 0.0):
         self.numbers = {w: i for i, w in enumerate(vocabulary)}
-        self.idf, self.index, self.share, self.slope, self.offset = idf, index, share, slope, offset
-
-    def vote(self, terms: np.ndarray, counts: np.ndarray, skip: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        """Log-odds of the weighted votes, and the rows and similarities that voted."""
+        self.idf, self.index, self.share, self.bare, self.slope, self.offset = idf, index, share, bare, slope, offset
+
+    def votes(self, texts: list[tuple[np.ndarray, np.ndarray]], skips: list[int] | None = None) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """Log-odds of the weighted votes, and the rows and similarities that voted, of each text."""
+        vectors = [(t, weights(t, c, self.idf) if len(t) else c) for t, c in texts]
+        for at in range(0, len(texts), common.BATCH_ROWS):
+            some = vectors[at : at + common.BATCH_ROWS]
+            sums = [None] * len(some) if self.index is None else self.index.column_sums(some)
+            for n, (terms, w) in enumerate(some):
+                yield self._vote(terms, w, -1 if skips is None else skips[at + n], sums[n])
+
+    def _vote(self, terms: np.ndarray, w: np.ndarray, skip: int, sums: np.ndarray | None) -> tuple[float, np.ndarray, np.ndarray]:
         rows, sims = np.empty(0, np.int64), np.empty(0)
+        p = self.bare
         if len(terms) and self.index is not None:
-            rows, sims = self.index.search(terms, weights(terms, counts, self.idf), skip=skip)
-        power = sims * self.index.vote[rows] if len(rows) else sims
-        toxic = (power * self.index.y[rows]).sum() if len(rows) else 0.0
-        p = (toxic + PRIOR_VOTE * self.share) / (power.sum() + PRIOR_VOTE)
+            rows, sims = self.index.search(terms, w, skip=skip, sums=sums)
+            power = sims**SHARPNESS * self.index.vote[rows]
+            prior = PRIOR_VOTE * self.index.vote.min()
+            p = ((power * self.index.y[rows]).sum() + prior * self.share) / (power.sum() + prior)
         p = min(max(p, 1e-6), 1 - 1e-6)
         return float(np.log(p / (1 - p))), rows, sims
 
@@ -172,115 +245,125 @@ class ToxicityModel:
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [sorted(set(words(t.as_py()))) for t in batch.column(2)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.string()))], ["doc_id", "label", "bag"])
+        found = [sorted(Counter(words(t.as_py())).items()) for t in batch.column(2)]
+        bags = pa.array([[w for w, _ in f] for f in found], pa.list_(pa.string()))
+        counts = pa.array([[n for _, n in f] for f in found], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], bags, counts], ["doc_id", "label", "bag", "counts"])
 
 
-def _vectors(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """doc_id, terms, counts of every row: its words of the vocabulary."""
-    numbers = {w: i for i, w in enumerate(vocabulary)}
+class Terms:
+    """Numbers of the terms of a text, and their counts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[int, ...]] = {}  # terms of a word
+    def __init__(self, numbers: dict[str, int]):
+        self.numbers, self.known = numbers, {}
 
-        def look_up(word: str) -> tuple[int, ...]:
-            if len(known) >= CACHED_WORDS:
-                known.clear()
-            found = known[word] = tuple(numbers[t] for t in terms_of(word) if t in numbers)
-            return found
+    def of_word(self, word: str) -> tuple[int, ...]:
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= CACHED_WORDS:
+                self.known.clear()
+            found = self.known[word] = tuple(self.numbers[t] for t in terms_of(word) if t in self.numbers)
+        return found
 
-        for batch in batches:
-            terms, counts = [], []
-            for text in batch.column(1):
-                tally: Counter[int] = Counter()
-                for word in words(text.as_py()):
-                    found = known.get(word)
-                    if found is None:
-                        found = look_up(word)
-                    if found:
-                        tally.update(found)
-                terms.append(sorted(tally))
-                counts.append([tally[t] for t in terms[-1]])
-            columns = [pa.array(x, pa.list_(pa.int32())) for x in (terms, counts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "terms", "counts"])
-
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, terms array<int>, counts array<int>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
-
-
-def _frequencies(size: int):
+    def of_words(self, tally: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.of_word(w) for w in tally]
+        flat = np.fromiter(chain.from_iterable(found), np.int64)
+        times = np.repeat(np.fromiter(tally.values(), float, len(tally)), [len(f) for f in found])
+        terms, at = np.unique(flat, return_inverse=True)
+        return terms, np.bincount(at, times, len(terms))
+
+
+def _frequencies(numbers):
     """Documents with each term, counted per partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(size, np.int64)
+        reader, n = Terms(numbers.value), 0
+        found = np.zeros(len(reader.numbers), np.int64)
         for batch in batches:
-            found += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
+            n += batch.num_rows
+            for text in batch.column(0):
+                seen = [reader.of_word(w) for w in set(words(text.as_py()))]
+                found[np.fromiter(chain.from_iterable(seen), np.int64)] += 1  # a repeated number counts once
         some = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(found[some])], ["term", "n"])
+        # Term -1 counts the documents.
+        for at in range(-1, len(some), _ROWS):
+            part = some[max(at, 0) : at + _ROWS]
+            terms, counts = (np.append(part, -1), np.append(found[part], n)) if at < 0 else (part, found[part])
+            yield pa.RecordBatch.from_arrays([pa.array(terms.astype(np.int32)), pa.array(counts)], ["term", "n"])
 
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: tuple[int, int] = (5, 0)) -> tuple[ToxicityModel, DataFrame]:
-    """The model, and the stored vectors of all documents."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: tuple[int, int] = (5, 0)) -> ToxicityModel:
     n, remainder = held_out
     learned = labels.where(common.crc_mod("doc_id", n) != remainder).where(F.col(label).isin(0, 1))
     sample = materialize(common.class_sample(learned, label, PER_CLASS, SEED), "toxic-sample")
     few = sample.select("doc_id", F.col(label).cast("int").alias("_label"))
     # At most 2 * PER_CLASS narrow rows.
     chosen = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("doc_id", "_label", "text")
-    bags = chosen.mapInArrow(_bags, "doc_id long, label int, bag array<string>")
-    rows = bags.groupBy("doc_id").agg(F.min(F.struct("label", "bag")).alias("b")).select("doc_id", "b.*").collect()
-    rows = sorted(rows, key=lambda r: r["doc_id"])
-    y = np.array([r["label"] for r in rows], np.int64)
-    vocabulary = separating_words([r["bag"] for r in rows], y) if len(rows) else []
-    vectors = materialize(_vectors(docs, vocabulary), "toxic-vectors")
-    df = np.zeros(len(vocabulary))
-    found = vectors.select("terms").mapInArrow(_frequencies(len(vocabulary)), "term int, n long")
-    for term, count in found.groupBy("term").agg(F.sum("n")).collect():  # one row per term
-        df[term] = count
-    idf = np.log((1 + vectors.count()) / (1 + df)) + 1
+    bags = chosen.mapInArrow(_bags, "doc_id long, label int, bag array<string>, counts array<int>")
+    rows = bags.groupBy("doc_id").agg(F.min(F.struct("label", "bag", "counts")).alias("b")).select("doc_id", "b.*").toArrow()
+    rows = rows.sort_by("doc_id").combine_chunks()
+    if not rows.num_rows:
+        return ToxicityModel([], np.empty(0), None, 0.0)
+    y = rows["label"].to_numpy().astype(np.int64)
+    numbers: dict[str, int] = {}
+    for bag in rows["bag"]:
+        for word in bag.as_py():
+            if word not in numbers:
+                for t in terms_of(word):
+                    numbers.setdefault(t, len(numbers))
+    vocabulary, reader = list(numbers), Terms(numbers)
+    bare = [reader.of_words(dict(zip(b.as_py(), c.as_py(), strict=True))) for b, c in zip(rows["bag"], rows["counts"], strict=True)]
+    family = families([bag.as_py() for bag in rows["bag"]])
+    cells = np.repeat(np.arange(len(bare)), [len(t) for t, _ in bare])
+    part = parts(vocabulary, cells, np.concatenate([t for t, _ in bare]), family, y)
+    shared = docs.sparkSession.sparkContext.broadcast(numbers)
+    counted = docs.select("text").mapInArrow(_frequencies(shared), "term int, n long")
+    df, n_docs = np.zeros(len(vocabulary)), 0
+    found = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row per term
+    terms, counts = found["term"].to_numpy(), found["n"].to_numpy()
+    df[terms[terms >= 0]], n_docs = counts[terms >= 0], int(counts[terms < 0].sum())
+    idf = (np.log((1 + n_docs) / (1 + df)) + 1) * part
     sizes = dict(sample.groupBy(label).agg(F.max("class_size")).collect())
-    vote = np.array([sizes.get(c, 0) / max(1, (y == c).sum()) for c in (0, 1)])[y] if len(y) else np.empty(0)
-    vote = vote / vote.mean() if len(y) else vote
-    share = float((vote * y).sum() / vote.sum()) if len(y) else 0.0
-    model = ToxicityModel(vocabulary, idf, None, share)
-    numbers, bare = model.numbers, []
-    example_rows = vectors.join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"]).collect()
-    tallies = {r["doc_id"]: (np.array(r["terms"], np.int64), np.array(r["counts"], float)) for r in example_rows}
-    bare = [tallies[r["doc_id"]] for r in rows]
+    vote = np.array([sizes.get(c, 0) / max(1, (y == c).sum()) for c in (0, 1)])[y]
+    vote = vote / vote.mean()
+    share = float((vote * y).sum() / vote.sum())
     known = [i for i, (terms, _) in enumerate(bare) if len(terms)]
+    index = None
     if known:
         made = [(bare[i][0], weights(*bare[i], idf)) for i in known]
-        model.index = BlockMaxIndex(np.array([rows[i]["doc_id"] for i in known]), made, y[known], vote[known], len(numbers))
-    # What the examples without a word of the vocabulary say is the share that speaks where nothing is near.
-    silent = np.setdiff1d(np.arange(len(rows)), known)
-    if len(silent):
-        model.share = float((vote[silent] * y[silent]).sum() / vote[silent].sum())
+        index = BlockMaxIndex(rows["doc_id"].to_numpy()[known], made, y[known], vote[known], len(numbers))
+    # What the examples without a word say is the share of texts without one.
+    silent = np.setdiff1d(np.arange(len(bare)), known)
+    said = float((vote[silent] * y[silent]).sum() / vote[silent].sum()) if len(silent) else share
+    model = ToxicityModel(vocabulary, idf, index, share, said)
     if len(set(y.tolist())) == 2:
         place = {i: n for n, i in enumerate(known)}
-        odds = np.array([model.vote(*bare[i], skip=place.get(i, -1))[0] for i in range(len(rows))])
+        odds = np.array([odds for odds, *_ in model.votes(bare, [place.get(i, -1) for i in range(len(bare))])])
         model.calibrate(odds, y, vote)
-    return model, vectors
+    return model
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence for every row of ``docs``; evidence lists
     the nearest examples (doc_id, similarity, toxic), nearest first.
 
-    NULL and empty texts, and texts without a separating word, get the share of toxic examples that
-    are like that. Labels that are NULL or not 0 or 1 are left out; without labels outside
+    NULL and empty texts, and texts without a word of any example, get the share of toxic examples that
+    have no words. Labels that are NULL or not 0 or 1 are left out; without labels outside
     the held-out fold every score is 0. Rows without id are never learned from. Repeated rows stay; of
     contradicting labels of one id the smaller counts. An empty table gives no rows.
     """
     common.prepare(docs.sparkSession)
-    model, vectors = fit(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        reader = Terms(model.numbers)
         for batch in batches:
             scores, evidence = [], []
-            for terms, counts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                odds, rows, sims = model.vote(np.array(terms, np.int64), np.array(counts, float))
+            texts = [reader.of_words(Counter(words(text.as_py()))) for text in batch.column(1)]
+            for odds, rows, sims in model.votes(texts):
                 scores.append(model.score(odds) if model.index is not None or model.share else 0.0)
                 evidence.append(
                     [{"doc_id": int(model.index.ids[r]), "similarity": float(s), "toxic": int(model.index.y[r])} for r, s in zip(rows, sims, strict=True)]
@@ -289,7 +372,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["doc_id", "score", "evidence"])
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, evidence array<struct<doc_id:long,similarity:double,toxic:int>>"
-    scored = vectors.mapInArrow(run, schema)
+    scored = docs.select("doc_id", "text").mapInArrow(run, schema)
     return scored.select(
         "doc_id", common.is_held_out("doc_id", 5, 0).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence",

@@ -65,3 +65,42 @@ def test_rows_of_any_kind(spark):
     assert all(r.predicted == int(r.doc_id is None or r.doc_id == 202 or (r.doc_id < 150 and r.doc_id % 3 == 0)) for r in found)
     assert {r.score for r in toxicity.score_toxicity(docs, labels.where("false")).collect()} == {0.0}
     assert toxicity.score_toxicity(docs.where("false"), labels).collect() == []
+
+
+def test_copy_of_a_toxic_example_without_frequent_insults_is_toxic(spark):
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    lexicon = ["".join(rng.choice(letters, 7)) for _ in range(400)]
+
+    def prose(n):
+        return " ".join(lexicon[i] for i in rng.integers(0, 400, n))
+
+    # Each toxic document has an insult of its own, so no word is associated with the class.
+    rows = [(i, prose(40) + (" " + "".join(rng.choice(letters, 9)) if i % 5 == 0 else ""), 0, "x") for i in range(300)]
+    copies = [(1000 + i, rows[i][1], 0, "x") for i in range(0, 300, 5)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0), "x") for i in range(300)], "doc_id long, toxic int, text string")
+    found = {r.doc_id: r for r in toxicity.score_toxicity(spark.createDataFrame(rows + copies, DOCS), labels).collect()}
+    learned = [i for i in range(0, 300, 5) if not found[i].held_out]
+    assert len(learned) > 30
+    for i in learned:
+        nearest = found[1000 + i].evidence[0]
+        assert (nearest.doc_id, nearest.toxic, round(nearest.similarity, 9)) == (i, 1, 1.0)
+        assert found[1000 + i].predicted == 1
+    assert not any(found[i].predicted for i in range(300) if i % 5)
+
+
+def test_index_is_exact_with_columns_and_blocks():
+    rng = np.random.default_rng(5)
+    p = 1 / np.arange(2, 302)
+    dense = np.where(rng.random((700, 300)) < p * 2, rng.random((700, 300)) + 0.1, 0)
+    dense[:, 299] += 0.01
+    dense /= np.sqrt((dense * dense).sum(axis=1, keepdims=True))
+    vectors = [(np.flatnonzero(v), v[v > 0]) for v in dense]
+    index = toxicity.BlockMaxIndex(np.arange(700), vectors, np.zeros(700), np.ones(700), 300)
+    assert 0 < len(index.columns) < 300
+    for i in range(0, 700, 11):
+        sims = dense @ dense[i]
+        sims[i] = 0
+        expected = np.lexsort((np.arange(700), -np.round(sims, 12)))[:10]
+        rows, found = index.search(*vectors[i], skip=i)
+        assert rows.tolist() == expected.tolist() and np.allclose(found, sims[expected])
