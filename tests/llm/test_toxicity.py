@@ -104,3 +104,7 @@ def test_index_is_exact_with_columns_and_blocks():
         expected = np.lexsort((np.arange(700), -np.round(sims, 12)))[:10]
         rows, found = index.search(*vectors[i], skip=i)
         assert rows.tolist() == expected.tolist() and np.allclose(found, sims[expected])
+
+
+def test_sample_is_not_cut_for_memory():
+    assert toxicity.PER_CLASS >= 1500
