@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linkloom.llm import licences
+from linkloom.llm import importance, licences
 
 ORACLE: dict[str, str] = {
     "op10_exact_dedup": r"""
@@ -51,3 +51,60 @@ def _licence_sql() -> str:
 
 
 ORACLE["op5_license_scan"] = _licence_sql()
+
+
+def _importance_sql() -> str:
+    """crc32 of each distinct word by a table of bytes; the cut by a rank over all rows."""
+    n, least = importance.BUCKETS, importance.MIN_WORDS
+    return rf"""
+        with recursive steps(i, step, c) as (
+            select i, 0, i::bigint from range(256) t(i)
+            union all
+            select i, step + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end from steps where step < 8
+        ),
+        crc_table as (select list(c order by i) as t from steps where step = 8),
+        rows as (select row_number() over () as r, doc_id, {_words("documents")}),
+        wanted as (select {_words("benchmark")}),
+        source as (select r, unnest(words) as word from rows),
+        target as (select unnest(words) as word from wanted),
+        vocabulary as (select distinct word, hex(encode(word)) as h from (select word from source union all select word from target)),
+        bytes as (select word, list_transform(range(length(h) // 2), lambda k: ('0x' || substr(h, (2 * k + 1)::int, 2))::bigint) as b from vocabulary),
+        buckets as (
+            select word, xor(list_reduce(list_prepend(4294967295::bigint, b),
+                                         lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295::bigint) % {n} as bucket
+            from bytes, crc_table
+        ),
+        s_counts as (select bucket, count(*) as s from source join buckets using (word) group by bucket),
+        t_counts as (select bucket, count(*) as t from target join buckets using (word) group by bucket),
+        totals as (select (select count(*) from source) as s_all, (select count(*) from target) as t_all),
+        gains as (
+            select bucket, floor(1000 * ln(((coalesce(t, 0) + 1) * (s_all + {n}))::double / ((coalesce(s, 0) + 1) * (t_all + {n}))::double))::bigint as gain
+            from s_counts full join t_counts using (bucket), totals
+        ),
+        weights as (
+            select r, count(*) as n_features, floor(sum(gain)::double / count(*))::bigint as weight
+            from source join buckets using (word) join gains using (bucket) group by r
+        ),
+        hashed as (
+            select r, doc_id, len(words) as n_words, ('0x' || substr(sha256('{importance.SEED}:' || doc_id::varchar), 1, 8))::bigint as h from rows
+        ),
+        scored as (
+            select r, doc_id, n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+                   coalesce(weight, 0) + floor(-1000.0 * ln(-ln((h + 0.5::double) / 4294967296.0::double)))::bigint as score
+            from hashed left join weights using (r)
+        ),
+        ranked as (
+            select r, row_number() over (order by score desc, doc_id, r) as place, count(*) over () as n
+            from scored where n_words >= {least} and score is not null
+        )
+        select doc_id, n_features, weight, score, case when place <= n * {importance.PERCENT} // 100 then place end as rank
+        from scored left join ranked using (r)
+    """
+
+
+def _words(table: str) -> str:
+    lower = f"translate(coalesce(text, ''), '{licences.UPPER}', '{licences.LOWER}')"
+    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from {table}"
+
+
+ORACLE["op11_importance_resampling"] = _importance_sql()

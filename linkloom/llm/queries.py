@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import ann, bpe, common, exact, langid, licences, mixing, pitman_yor, quality, simhash, toxicity
+from linkloom.llm import ann, bpe, common, exact, importance, langid, licences, mixing, pitman_yor, quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +72,9 @@ def op9_toxicity(spark, sf_dir):
 @query
 def op4_pitman_yor_lm(spark, sf_dir):
     return pitman_yor.score_documents(common.documents(spark, sf_dir))
+
+
+@query
+def op11_importance_resampling(spark, sf_dir):
+    docs = common.documents(spark, sf_dir)
+    return importance.resample(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

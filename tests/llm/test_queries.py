@@ -11,7 +11,7 @@ from linkloom.llm.queries import QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, sf_small, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "labels"):
+    for table in ("documents", "embeddings", "labels", "benchmark"):
         con.execute(f"create view {table} as select * from '{sf_small}/{table}.parquet'")
     expected = con.sql(ORACLE[name])
     found = QUERIES[name](spark, sf_small)
