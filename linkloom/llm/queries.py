@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import ann, bpe, common, exact, importance, langid, licences, mixing, pitman_yor, quality, simhash, toxicity
+from linkloom.llm import align, ann, bpe, common, exact, importance, langid, licences, mixing, pitman_yor, quality, sanitise, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +78,15 @@ def op4_pitman_yor_lm(spark, sf_dir):
 def op11_importance_resampling(spark, sf_dir):
     docs = common.documents(spark, sf_dir)
     return importance.resample(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    a, b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.align(common.documents(spark, sf_dir), a, b)
+
+
+@query
+def op12_pii_sanitisation(spark, sf_dir):
+    found = sanitise.find(common.documents(spark, sf_dir))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
