@@ -1,9 +1,9 @@
-"""HTML expressions: one lower-cased, cleaned document per page, then regular
-expressions over it.
+"""HTML expressions: one walk over the lower-cased page yields the pieces that are asked
+for, in order; everything else works on those pieces.
 
-Every extraction walks the tags one after the other: its pattern takes either the
-tag it looks for or any other tag, so what stands inside a quoted value is never
-taken for a tag. Repeated groups are possessive. Java runs those in a loop, where
+The walk takes comments, raw-text elements, tags and text one after the other, so what stands inside a
+quoted value, a comment, a script, a title or a text area is never taken for a tag. One match skips any number
+of pieces that nobody asked for. Repeated groups are possessive. Java runs those in a loop, where
 greedy ones recurse and overflow the stack, and a tag without an end takes the rest
 of the document once, so the time is linear in the page, whatever it holds.
 """
@@ -20,7 +20,13 @@ _INSIDE = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]++)"""
 
 _TAG = rf"/?[a-z!?]{_INSIDE}>?+"
-ANY_TAG = f"<{_TAG}"
+_COMMENT = r"<!--(?:[^-]++|-(?!->))*+(?:-->)?+"
+_TEXT = r"(?:[^<]++|<(?!/?[a-z!?]))++"
+
+# Elements whose content is no markup: not shown on the page, and shown as it is written.
+HIDDEN, SHOWN = ("script", "style", "title", "iframe"), ("textarea", "xmp")
+# White space that is not a single blank already.
+WIDE_SPACE = r"\s\s++|[\t\n\x0B\f\r]"
 
 
 def _raw_text(tag: str) -> str:
@@ -28,29 +34,31 @@ def _raw_text(tag: str) -> str:
     return rf"<{tag}(?=[\s/>]){_INSIDE}>(?:[^<]++|<(?!/{tag}\s*+>))*+(?:</{tag}\s*+>)?+"
 
 
-# The patterns test for the bracket first, as most characters are none.
-# Comments, scripts and style sheets; group 1 is any other tag, which stays.
-NOISE = rf"(?=<)(?:<!--(?:[^-]++|-(?!->))*+(?:-->)?+|{_raw_text('script')}|{_raw_text('style')}|({ANY_TAG}))"
-ANCHOR = rf"<(?:(a)(?=[\s/>]){_INSIDE}>|{_TAG})"
-META = rf"(?=<)(?:(<meta(?=[\s/]){_INSIDE}>)|{ANY_TAG})"
-# The walk starts at the beginning only, so it runs once.
-BODY = (
-    rf"\A(?:[^<]++|<(?!body[\s/>])(?:/?[a-z!?]{_INSIDE}>?+)?+)*+"
-    rf"<body(?=[\s/>]){_INSIDE}>?+((?:[^<]++|<(?!/body\s*+>))*+)"
-)
-# White space that is not a single blank already.
-WIDE_SPACE = r"\s\s++|[\t\n\x0B\f\r]"
+def _walk(tags: tuple[str, ...], text: bool) -> str:
+    """Pattern of any pieces that are not wanted and the wanted one behind them, in group 1: a
+    tag named in ``tags``, and with ``text`` the body's tags, text and shown raw text."""
+    names = "|".join(tags)
+    wanted = [rf"<(?:{names})(?=[\s/>]){_INSIDE}>"] if tags else []
+    spared = [rf"(?:{names})[\s/>]"] if tags else []
+    raw = [_raw_text(t) for t in HIDDEN]
+    if text:
+        wanted = [*map(_raw_text, SHOWN), *wanted, rf"<body(?=[\s/>]){_INSIDE}>?+", r"</body\s*+>", _TEXT]
+        spared += [r"body[\s/>]", r"/body\s*+>", rf"(?:{'|'.join(SHOWN)})[\s/>]"]
+        blank = r"\s++"
+    else:
+        raw += [_raw_text(t) for t in SHOWN]
+        blank = _TEXT
+    skipped = [blank, _COMMENT, *raw, rf"<(?!{'|'.join(spared)}){_TAG}"]
+    return rf"(?:{'|'.join(skipped)})*+(?:({'|'.join(wanted)})|<{_TAG}|\z)"
 
 
 def _attribute(tag: str, name: str) -> str:
     """Pattern of a tag, from its name on; group 1 is the raw value of the first
     ``name`` attribute."""
     other = rf"\s*+(?!{name}[\s=])[^\s>=]++(?:\s*+=\s*+{_VALUE})?+"
-    return rf"{tag}(?=[\s/])(?:{other})*+\s*+{name}\s*+=\s*+({_VALUE})"
+    return rf"\A<{tag}(?=[\s/])(?:{other})*+\s*+{name}\s*+=\s*+({_VALUE})"
 
 
-LINK = rf"<(?:{_attribute('a', 'href')}{_INSIDE}>|{_TAG})"
-
 # Named entities decoded in attribute values (fixed values); pages are in lower case.
 ENTITIES = {
     "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
@@ -66,14 +74,13 @@ ENTITIES = {
 ENTITY_OR_TEXT = r"&#x[0-9a-f]{1,6};|&#[0-9]{1,7};|&[a-z]{2,8};|[^&]++|&"
 
 
-def document(html: Column) -> Column:
-    """Lower-cased html without comments, scripts and style sheets."""
-    return F.regexp_replace(F.lower(html), NOISE, "$1 ")
-
+def pieces(html: Column, *tags: str, text: bool = False) -> Column:
+    """The tags of these names in document order, lower-cased; with ``text`` also the body's own tags and all text.
 
-def _groups(doc: Column, pattern: str) -> Column:
-    """Group 1 of every match that has one."""
-    return F.filter(F.regexp_extract_all(doc, F.lit(pattern), 1), lambda found: found != "")
+    A NULL page has no pieces.
+    """
+    found = F.regexp_extract_all(F.lower(html), F.lit(_walk(tags, text)), 1)
+    return F.coalesce(F.filter(found, lambda p: p != ""), F.array().cast("array<string>"))
 
 
 def _character(code: Column) -> Column:
@@ -104,36 +111,49 @@ def _unquoted(raw: Column) -> Column:
     return F.when(quoted & closed, raw.substr(F.lit(2), F.length(raw) - 2)).when(raw != "", raw)
 
 
-def hrefs(doc: Column) -> Column:
-    """All anchor targets in document order, duplicates kept.
+def _named(found: Column, tag: str) -> Column:
+    """Pieces that are such tags; no two names asked for begin alike."""
+    return F.filter(found, lambda p: p.startswith(f"<{tag}"))
+
+
+def _values(found: Column, tag: str, attribute: str) -> Column:
+    """The attribute of every such tag that has it, unquoted and decoded.
 
     Extraction, unquoting and decoding are steps of their own, so each works on a
     bound variable and nothing is evaluated twice.
     """
-    found = F.transform(F.transform(_groups(doc, LINK), _unquoted), decode)
-    return F.coalesce(found, F.array().cast("array<string>"))
+    raw = F.transform(_named(found, tag), lambda p: F.regexp_extract(p, _attribute(tag, attribute), 1))
+    return F.transform(F.transform(F.filter(raw, lambda v: v != ""), _unquoted), decode)
 
 
-def anchor_count(doc: Column) -> Column:
+def hrefs(found: Column) -> Column:
+    """All anchor targets among the pieces in document order, duplicates kept."""
+    return _values(found, "a", "href")
+
+
+def base_href(found: Column) -> Column:
+    """Target of the first base tag that has one, else NULL."""
+    return F.try_element_at(_values(found, "base", "href"), F.lit(1))
+
+
+def anchor_count(found: Column) -> Column:
     """Number of anchors, with or without a target."""
-    return F.coalesce(F.size(_groups(doc, ANCHOR)), F.lit(0))
+    return F.size(_named(found, "a"))
 
 
 _META_FIELDS = {"name": "name", "equiv": "http-equiv", "content": "content"}
 
 
-def metas(doc: Column) -> Column:
+def metas(found: Column) -> Column:
     """One struct (name, equiv, content) per meta tag, in document order."""
 
     def each(step: Callable[[Column], Column]) -> Callable[[Column], Column]:
         return lambda m: F.struct(*[step(m[field]).alias(field) for field in _META_FIELDS])
 
     def raw(tag: Column) -> Column:
-        return F.struct(
-            *[F.regexp_extract(tag, rf"\A<{_attribute('meta', attr)}", 1).alias(field) for field, attr in _META_FIELDS.items()]
-        )
+        return F.struct(*[F.regexp_extract(tag, _attribute("meta", attr), 1).alias(field) for field, attr in _META_FIELDS.items()])
 
-    return F.transform(F.transform(F.transform(_groups(doc, META), raw), each(_unquoted)), each(decode))
+    return F.transform(F.transform(F.transform(_named(found, "meta"), raw), each(_unquoted)), each(decode))
 
 
 def meta_content(tags: Column, name: str) -> Column:
@@ -155,7 +175,27 @@ def meta_keywords(tags: Column) -> Column:
     return F.coalesce(F.filter(tokens, lambda t: t != ""), F.array().cast("array<string>"))
 
 
-def body_text(doc: Column) -> Column:
+def body_span(found: Column) -> Column:
+    """Struct (n, begin, end): number of pieces, and the numbers of the first body tag and of the first end behind it; 0 is none.
+
+    A fold over the pieces whose mode is where in the page it is: before, in or behind the body.
+    """
+    none = F.lit(0)
+
+    def step(at: Column, piece: Column) -> Column:
+        n = at["n"] + 1
+        begins = (at["begin"] == 0) & piece.startswith("<body")
+        ends = (at["begin"] > 0) & (at["end"] == 0) & piece.startswith("</body")
+        return F.struct(n.alias("n"), F.when(begins, n).otherwise(at["begin"]).alias("begin"), F.when(ends, n).otherwise(at["end"]).alias("end"))
+
+    return F.aggregate(found, F.struct(none.alias("n"), none.alias("begin"), none.alias("end")), step)
+
+
+def body_text(found: Column, span: Column) -> Column:
     """Visible text of the body, chunks joined by one space; NULL when empty."""
-    spaced = F.regexp_replace(F.regexp_extract(doc, BODY, 1), ANY_TAG, " ")
-    return F.nullif(F.trim(F.regexp_replace(spaced, WIDE_SPACE, " ")), F.lit(""))
+    begin = F.when(span["begin"] > 0, span["begin"]).otherwise(span["n"])
+    inside = F.slice(found, begin + 1, F.when(span["end"] > 0, span["end"] - 1).otherwise(span["n"]) - begin)
+    texts = F.filter(inside, lambda p: ~p.rlike(r"\A</?(?:a|base|meta|body)[\s/>]"))
+    around = rf"\A<(?:{'|'.join(SHOWN)})(?=[\s/>]){_INSIDE}>|</(?:{'|'.join(SHOWN)})\s*+>\z"
+    shown = F.transform(texts, lambda p: F.when(p.rlike(r"\A<[a-z]"), F.regexp_replace(p, around, "")).otherwise(p))
+    return F.nullif(F.trim(F.regexp_replace(F.array_join(shown, " "), WIDE_SPACE, " ")), F.lit(""))

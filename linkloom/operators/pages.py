@@ -9,17 +9,22 @@ from linkloom.functions import html as H
 from linkloom.functions import urls as U
 
 
-def _documents(pages: DataFrame, keep: list[str]) -> DataFrame:
-    return pages.select(*keep, H.document(F.col("html")).alias("_doc"))
+def _pieces(pages: DataFrame, keep: list[str], *tags: str, text: bool = False) -> DataFrame:
+    return pages.select(*keep, H.pieces(F.col("html"), *tags, text=text).alias("_pieces"))
 
 
-def parse(pages: DataFrame, keep: list[str]) -> DataFrame:
-    """The full parsed-page row; a NULL or empty html gives an empty page."""
-    pieces = _documents(pages, keep).select(
+def parse(pages: DataFrame, keep: list[str], base: bool = False) -> DataFrame:
+    """The full parsed-page row; a NULL or empty html gives an empty page. With ``base`` also the
+    target of its base tag, against which its links are to be resolved."""
+    tags = ("a", "meta", "base") if base else ("a", "meta")
+    found = _pieces(pages, keep, *tags, text=True).withColumn("_body", H.body_span(F.col("_pieces")))
+    p = F.col("_pieces")
+    pieces = found.select(
         *keep,
-        H.hrefs(F.col("_doc")).alias("links"),
-        H.metas(F.col("_doc")).alias("_metas"),
-        H.body_text(F.col("_doc")).alias("body_text"),
+        H.hrefs(p).alias("links"),
+        H.metas(p).alias("_metas"),
+        H.body_text(p, F.col("_body")).alias("body_text"),
+        *([H.base_href(p).alias("base")] if base else []),
     )
     m = F.col("_metas")
     return pieces.select(
@@ -31,12 +36,24 @@ def parse(pages: DataFrame, keep: list[str]) -> DataFrame:
         H.meta_keywords(m).alias("keywords"),
         H.meta_content(m, "description").alias("description"),
         "body_text",
+        *(["base"] if base else []),
     )
 
 
 def with_links(pages: DataFrame, keep: list[str]) -> DataFrame:
     """Only the links of each page, as an array."""
-    return _documents(pages, keep).select(*keep, H.hrefs(F.col("_doc")).alias("links"))
+    return _pieces(pages, keep, "a").select(*keep, H.hrefs(F.col("_pieces")).alias("links"))
+
+
+def absolute_links(pages: DataFrame, keep: list[str], rule: str | None = None) -> DataFrame:
+    """One row per link (keep..., pos, dst), resolved against the page's base tag and ``url``, which
+    has to be one of ``keep``; with a pruning rule only those that satisfy it then."""
+    found = _pieces(pages, keep, "a", "base").select(
+        *keep, H.hrefs(F.col("_pieces")).alias("_links"), U.base_of(F.col("url"), H.base_href(F.col("_pieces"))).alias("_base")
+    )
+    absolute = found.select(*keep, U.resolve_all(F.col("_links"), F.col("_base")).alias("_links"))
+    kept = F.col("_links") if rule is None else U.prune(F.col("_links"), rule)
+    return _exploded(absolute, keep, kept, "dst")
 
 
 def links(pages: DataFrame, keep: list[str], rule: str | None = None) -> DataFrame:
@@ -51,7 +68,7 @@ def links(pages: DataFrame, keep: list[str], rule: str | None = None) -> DataFra
 
 def keywords(pages: DataFrame, keep: list[str]) -> DataFrame:
     """One row per keyword (keep..., pos, keyword)."""
-    tagged = _documents(pages, keep).select(*keep, H.metas(F.col("_doc")).alias("_metas"))
+    tagged = _pieces(pages, keep, "meta").select(*keep, H.metas(F.col("_pieces")).alias("_metas"))
     return _exploded(tagged, keep, H.meta_keywords(F.col("_metas")), "keyword")
 
 
@@ -67,10 +84,10 @@ def _exploded(rows: DataFrame, keep: list[str], items: Column, name: str) -> Dat
 
 def link_counts(pages: DataFrame, keep: list[str], rule: str = "http") -> DataFrame:
     """Anchors, anchors with and without target, and links left after pruning."""
-    counted = _documents(pages, keep).select(
+    counted = _pieces(pages, keep, "a").select(
         *keep,
-        H.anchor_count(F.col("_doc")).cast("long").alias("n_anchors"),
-        H.hrefs(F.col("_doc")).alias("_links"),
+        H.anchor_count(F.col("_pieces")).cast("long").alias("n_anchors"),
+        H.hrefs(F.col("_pieces")).alias("_links"),
     )
     n_links = F.size("_links").cast("long")
     return counted.select(

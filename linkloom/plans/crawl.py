@@ -63,14 +63,11 @@ def crawl(
         raise ValueError("on_missing must be 'keep' or 'drop'")
     if prune_seeds:
         seeds = seeds.where(F.size(U.prune(F.array("url"), rule)) > 0)
-    parsed = materialize(P.parse(pages, ["url"]), "parsed")
-    links = F.col("links")
-    if resolve_links:
-        links = F.transform(links, lambda link: U.resolve(link, F.col("url")))
-    kept = parsed.select("url", U.prune(links, rule).alias("kept"))
-    edges = kept.select(F.col("url").alias("src"), F.posexplode_outer("kept").alias("pos", "dst")).where(
-        "pos is not null"
-    )
+    found = P.parse(pages, ["url"], base=resolve_links)
+    every = U.resolve_all(F.col("links"), U.base_of(F.col("url"), F.col("base"))) if resolve_links else F.col("links")
+    found = found.withColumn("_every", every).withColumn("_kept", U.prune(F.col("_every"), rule))
+    parsed = materialize(found.drop("_every", "base"), "parsed")
+    edges = parsed.select(F.col("url").alias("src"), F.posexplode_outer("_kept").alias("pos", "dst")).where("pos is not null")
     if max_jobs > 0:
         placed = seeds if "position" in seeds.columns else with_position(seeds.select("url"), ["url"])
         queue = FR.expand_fifo(placed, edges, max_depth, max_jobs, dedupe)
@@ -82,10 +79,10 @@ def crawl(
     known = parsed.withColumns(
         {
             "n_links": F.size("links").cast("long"),
-            "n_pruned": F.size(U.prune(links, rule)).cast("long"),
+            "n_pruned": F.size("_kept").cast("long"),
             "fetched": F.lit(True),
         }
-    )
+    ).drop("_kept")
     wanted = jobs.select("url").distinct()
     absent = {"fetched": F.coalesce("fetched", F.lit(False))}
     absent |= {c: F.coalesce(c, F.lit(0)) for c in ("n_links", "n_pruned")}

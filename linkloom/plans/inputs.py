@@ -14,6 +14,7 @@ from linkloom.sources import joblog
 DAY = 86_400
 MAX_DEPTH = 3
 BUDGET = 500
+# Thread counts of the download runs.
 THREADS = (1, 2, 4, 8, 16)
 # Link targets of page i in the derived web graph: pages i + step (mod N).
 STEPS = (1, 7, 13)
@@ -49,17 +50,12 @@ def real_edges(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) ->
     read = pages(spark, sf_dir)
     if of is not None:
         read = read.join(of.select("url"), "url", "left_semi")
-    found = P.links(read, ["page_id", "url"])
-    return found.select(
-        "page_id", F.col("url").alias("src"), "pos", U.resolve(F.col("href"), F.col("url")).alias("dst")
-    )
+    return P.absolute_links(read, ["page_id", "url"]).withColumnRenamed("url", "src")
 
 
 def page_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of crawled pages and document pages, made absolute: (origin, page_id, src, pos, dst)."""
-    found = P.links(all_pages(spark, sf_dir), ["origin", "page_id", "url"])
-    dst = U.resolve(F.col("href"), F.col("url"))
-    return found.select("origin", "page_id", F.col("url").alias("src"), "pos", dst.alias("dst"))
+    return P.absolute_links(all_pages(spark, sf_dir), ["origin", "page_id", "url"]).withColumnRenamed("url", "src")
 
 
 def domain_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,17 +93,24 @@ def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(
         F.lit('<HTML><HEAD><META NAME="Keywords" CONTENT="'), "lang", F.lit(", "), "source", F.lit(" * doc"), doc_id,
         F.lit("\"><meta name=keywords content='n"), n_chars,
-        F.lit("'><title>Not the title</title><meta name=\"title\" content=\"draft\"><META Name='title' Content=\""),
+        F.lit("'><title>Not <a href=/no>the title</title><meta name=\"title\" content=\"draft\"><META Name='title' Content=\""),
         "source", F.lit(" &amp; "), doc_id,
         F.lit('"><meta name="author" content="'), "lang",
         F.lit(' desk"><meta http-equiv="Content-Type" content="text/html; charset=utf-8; lang='), "lang",
         F.lit('"><meta name="x" http-equiv="content-type" content="ignored"><meta name="description" content="'),
         _escaped(F.col("text")),
         F.lit('"><!-- <a href="http://commented.example.com/">no</a> --><script>var x = "<a href=\'/no\'>";</script>'),
+        # Two of five have a base: relative to the page, or of another host; a second base does not count.
+        F.when(d["doc_id"] % 5 == 0, F.lit('<base target=x><base href="../up&#x2F;here?x"><base href=/late/>'))
+        .when(d["doc_id"] % 5 == 1, F.lit("<BASE HREF='http://base.example.org/a/b?c#d'>")).otherwise(F.lit("")),
         F.lit('</HEAD><BODY class="d"><p>'), "text",
         F.lit('</p><a class=q href="http://'), "source", F.lit(".example.com/"), doc_id,
         F.lit("?a=1&amp;b=2\">src</a><a href=/rel/"), "lang",
-        F.lit('>x</a><a name=top>t</a><a title="a > b" href=\'https://www.example.org/\'>w</a></BODY></HTML>'),
+        F.lit('>x</a><a name=top>t</a><a title="a > b" href=\'https://www.example.org/\'>w</a>'),
+        F.lit('<a href="page'), (d["doc_id"] % 7).cast("string"), F.lit('.html#s">p</a><a href="../x/./y/../'), "lang",
+        F.lit('">r</a><a href="?q=1&#38;r">q</a><a href="//cdn.example.net/../z">c</a><a href="#top">f</a>'),
+        F.lit('<textarea rows=2>a <a href=/t>b</a> &c</textarea><a href="&#47;num&#x2f;&#228;&eacute;&#x1f600;&#0;/..">n</a>'),
+        F.lit('<a href="mailto:a@b.example">m</a><a href="">e</a><xmp><b></xmp>z</BODY><a href=after></HTML>'),
     )
     url = F.concat(
         F.lit("http://www."), "source", F.lit(".example.com/"), "lang", F.lit("/"), (F.col("n_chars") % 100).cast("string")
@@ -128,8 +131,9 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event e processed page e mod N: (worker, url, processed_at, n_links), plus event_id."""
-    counted = P.link_counts(pages(spark, sf_dir), ["page_id", "url"])
-    counts = with_position(counted, ["page_id"], "_nth").drop("page_id")
+    # Numbered before they are parsed: dealing rows by range computes them twice.
+    numbered = _numbered(spark, sf_dir, ["page_id", "url"])
+    counts = numbered.join(P.link_counts(pages(spark, sf_dir), ["page_id"]), "page_id").drop("page_id")
     total = pages(spark, sf_dir).agg(F.count("*")).scalar()
     events = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", F.pmod(F.col("event_id"), total).alias("_nth")
