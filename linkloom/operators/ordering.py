@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from linkloom.session import materialize
 
+# Ranges that one round of ``smallest`` counts.
+BINS = 1024
 _PART = r"part-(\d+)[^/]*$"
 
 
@@ -48,6 +50,38 @@ def with_position(df: DataFrame, order_by: list[str], name: str = "position") ->
     )
 
 
+def in_pieces(df: DataFrame, order_by: list[str], size: int) -> DataFrame:
+    """Add ``piece`` and ``place``: rows in order lie in pieces of at most ``size`` rows, pieces in order
+    of ``piece``, rows of a piece in order of ``place``. A piece may hold the end of one group and the beginning of the next."""
+    rows = _written_in_order(df, order_by)
+    piece = F.struct(_file_order()[0].alias("file"), F.floor(F.col("_row") / size).alias("nth"))
+    return rows.select(*df.columns, piece.alias("piece"), F.col("_row").alias("place"))
+
+
+def smallest(df: DataFrame, column: str, wanted: int) -> DataFrame:
+    """The rows of the ``wanted`` smallest values of a whole-number column without repeats.
+
+    The cut is found by counts over ``BINS`` equal ranges, then over as many within the range it falls into, and so on; the
+    driver sees one row per range. Nothing is sorted. The rows are read once per round, so they should be stored.
+    """
+    lowest, highest, n = df.agg(F.min(column), F.max(column), F.count(column)).first()
+    if n <= wanted or wanted < 1:
+        return df if n <= wanted else df.limit(0)
+    low, high, left = lowest, highest, wanted  # the last value wanted is the left-th within the range
+    while low < high:
+        width = -(-(high - low + 1) // BINS)
+        inside = df.where(F.col(column).between(low, high))
+        counts = dict(inside.groupBy(F.expr(f"int(({column} - {low}L) div {width}L)")).agg(F.count("*")).collect())
+        for k in sorted(counts):
+            if counts[k] >= left:
+                low, high = low + k * width, min(high, low + (k + 1) * width - 1)
+                break
+            left -= counts[k]
+        if counts[k] == left:  # all of this range, so its exact end does not matter
+            break
+    return df.where(F.col(column) <= high)
+
+
 def with_running_sums(
     df: DataFrame, group_by: list[str], order_by: list[str], sums: dict[str, str]
 ) -> DataFrame:

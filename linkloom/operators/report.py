@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.operators.ordering import with_position
+from linkloom.operators.ordering import in_pieces, with_position
+
+#: Points that one row holds before the lines are put together.
+PIECE = 4_096
 
 
 def throughput_minutes(series: DataFrame, rate_seconds: float) -> DataFrame:
@@ -22,13 +25,15 @@ def series_report(points: DataFrame, info: DataFrame | None = None) -> DataFrame
     """(line_no, line) of a report.
 
     ``info`` is (position, key, value); ``points`` is (series, idx, value), already
-    aggregated to one row per index, so a series is as long as its configuration
-    list. Series are numbered by name; every value list is ascending in idx.
+    aggregated to one row per index. Series are numbered by name; every value list is ascending in idx. A line
+    holds a whole series, but nothing before the last step does.
     """
-    data = points.groupBy("series").agg(F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("_p"))
-    listed = data.select(
-        "series", F.concat_ws(",", F.transform("_p", lambda p: p["value"].cast("string"))).alias("_data")
-    )
+    # Points are put in order by ranges, strung together in pieces, and the pieces of a series in a line.
+    placed = in_pieces(points.select("series", "idx", F.col("value").cast("string").alias("value")), ["series", "idx"], PIECE)
+    pieces = placed.groupBy("series", "piece").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("_p"))
+    strung = pieces.select("series", "piece", F.concat_ws(",", F.col("_p.value")).alias("_text"))
+    data = strung.groupBy("series").agg(F.array_sort(F.collect_list(F.struct("piece", "_text"))).alias("_p"))
+    listed = data.select("series", F.concat_ws(",", F.col("_p._text")).alias("_data"))
     numbered = with_position(listed, ["series"], "n")
     label = F.concat(F.lit("series"), F.col("n").cast("string"))
     lines = numbered.select(

@@ -8,23 +8,37 @@ _DAY_US = DAY * 1_000_000
 _REST = """(?:[\\s/](?:[^>"'']|"[^"]*"|''[^'']*'')*)?>"""
 _VALUE = """("[^"]*"|''[^'']*''|[^\\s"''>]+)"""
 
-_NOISE = (
-    f"(?s)<!--.*?(?:-->|\\z)|<script{_REST}.*?(?:</script\\s*>|\\z)|<style{_REST}.*?(?:</style\\s*>|\\z)"
-)
+def _elements(*names: str) -> str:
+    """Whole elements of these names; unclosed, they reach to the end."""
+    return "|".join(f"<{n}{_REST}.*?(?:</{n}\\s*>|\\z)" for n in names)
+
+
+_NOISE = f"(?s)<!--.*?(?:-->|\\z)|{_elements('script', 'style', 'title', 'iframe')}"
+_SHOWN = f"(?s){_elements('textarea', 'xmp')}"
 
 
 def _doc(html: str) -> str:
     return f"regexp_replace(lower({html}), '{_NOISE}', ' ', 'g')"
 
 
+def _shielded(doc: str) -> str:
+    """Shown raw text without its tags: every other piece between them, its brackets out of sight."""
+    between = f"regexp_split_to_array({doc}, '<(?:textarea|xmp){_REST}|</(?:textarea|xmp)\\s*>')"
+    return f"array_to_string(list_transform({between}, lambda x, i: case when i % 2 = 0 then replace(x, '<', chr(1)) else x end), ' ')"
+
+
 def _decode(raw: str) -> str:
-    text = raw
-    for entity, char in (
-        ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&apos;", "''''"), ("&#39;", "''''"),
-        ("&#x27;", "''''"), ("&#34;", "'\"'"), ("&nbsp;", "chr(160)"), ("&#38;", "'&'"), ("&amp;", "'&'"),
-    ):
-        text = f"replace({text}, '{entity}', {char})"
-    return text
+    """Entities one after the other: numbers by their code, names by a table."""
+    code = (
+        "coalesce(try_cast(regexp_extract(p, '^&#([0-9]+);', 1) as int), "
+        "try_cast(case when p like '&#x%' then '0x' || regexp_extract(p, '^&#x([0-9a-f]+);', 1) end as int))"
+    )
+    names = {"lt": "<", "gt": ">", "quot": '"', "apos": "''", "nbsp": " ", "amp": "&", "eacute": "é"}
+    named = " ".join(f"when '&{n};' then '{c}'" for n, c in names.items())
+    known = f"case when {code} = 160 then ' ' when {code} between 1 and 55295 or {code} between 57344 and 1114111 then chr({code}) else p end"
+    each = f"case when p like '&#%' then {known} else case p {named} else p end end"
+    pieces = f"regexp_extract_all({raw}, '(?s)&#x[0-9a-f]{{1,6}};|&#[0-9]{{1,7}};|&[a-z]{{2,8}};|[^&]+|&')"
+    return f"(case when contains({raw}, '&') then array_to_string(list_transform({pieces}, lambda p: {each}), '') else {raw} end)"
 
 
 def _value(raw: str) -> str:
@@ -56,17 +70,23 @@ document_pages as (
     concat('http://www.', source, '.example.com/', lang, '/', n_chars % 100) as url,
     concat('<HTML><HEAD><META NAME="Keywords" CONTENT="', lang, ', ', source, ' * doc', doc_id,
       '"><meta name=keywords content=''n', n_chars,
-      '''><title>Not the title</title><meta name="title" content="draft"><META Name=''title'' Content="',
+      '''><title>Not <a href=/no>the title</title><meta name="title" content="draft"><META Name=''title'' Content="',
       source, ' &amp; ', doc_id,
       '"><meta name="author" content="', lang,
       ' desk"><meta http-equiv="Content-Type" content="text/html; charset=utf-8; lang=', lang,
       '"><meta name="x" http-equiv="content-type" content="ignored"><meta name="description" content="',
       {_esc("text")},
       '"><!-- <a href="http://commented.example.com/">no</a> --><script>var x = "<a href=''/no''>";</script>',
+      case doc_id % 5 when 0 then '<base target=x><base href="../up&#x2F;here?x"><base href=/late/>'
+        when 1 then '<BASE HREF=''http://base.example.org/a/b?c#d''>' else '' end,
       '</HEAD><BODY class="d"><p>', text,
       '</p><a class=q href="http://', source, '.example.com/', doc_id,
       '?a=1&amp;b=2">src</a><a href=/rel/', lang,
-      '>x</a><a name=top>t</a><a title="a > b" href=''https://www.example.org/''>w</a></BODY></HTML>') as html
+      '>x</a><a name=top>t</a><a title="a > b" href=''https://www.example.org/''>w</a>',
+      '<a href="page', doc_id % 7, '.html#s">p</a><a href="../x/./y/../', lang,
+      '">r</a><a href="?q=1&#38;r">q</a><a href="//cdn.example.net/../z">c</a><a href="#top">f</a>',
+      '<textarea rows=2>a <a href=/t>b</a> &c</textarea><a href="&#47;num&#x2f;&#228;&eacute;&#x1f600;&#0;/..">n</a>',
+      '<a href="mailto:a@b.example">m</a><a href="">e</a><xmp><b></xmp>z</BODY><a href=after></HTML>') as html
   from documents
 )"""
 
@@ -75,7 +95,8 @@ all_pages as (
   select 'crawl' as origin, page_id, url, html from pages
   union all select 'document', page_id, url, html from document_pages
 ),
-docs as (select origin, page_id, url, {_doc("html")} as doc from all_pages),
+cleaned as (select origin, page_id, url, {_doc("html")} as whole from all_pages),
+docs as (select *, regexp_replace(whole, '{_SHOWN}', ' ', 'g') as doc from cleaned),
 tags as (
   select origin, page_id, url, i, regexp_extract_all(doc, '<a{_REST}')[i] as tag
   from docs, unnest(generate_series(1, len(regexp_extract_all(doc, '<a{_REST}')))) as g(i)
@@ -111,9 +132,9 @@ keyword_rows as (
   ) where keyword <> ''
 ),
 bodies as (
-  select origin, page_id, nullif(trim(regexp_replace(regexp_replace(
-    regexp_extract(doc, '(?s)<body{_REST}(.*?)(?:</body\\s*>|\\z)', 1),
-    '</?[a-z!?](?:[^>"'']|"[^"]*"|''[^'']*'')*>', ' ', 'g'), '\\s+', ' ', 'g')), '') as body_text
+  select origin, page_id, nullif(trim(regexp_replace(replace(regexp_replace(
+    regexp_extract({_shielded("whole")}, '(?s)<body{_REST}(.*?)(?:</body\\s*>|\\z)', 1),
+    '</?[a-z!?](?:[^>"'']|"[^"]*"|''[^'']*'')*>', ' ', 'g'), chr(1), '<'), '\\s+', ' ', 'g')), '') as body_text
   from docs
 ),
 parsed as (
@@ -147,13 +168,81 @@ seeds as (
   from (select *, row_number() over (partition by {_domain("url")} order by page_id) as nth from pages) where nth = 1
 )"""
 
-_REAL = f"""{_ALL_PAGES},
-real_links as (
-  select page_id, url as src, pos, case
-    when left(href, 1) = '/' and left(href, 2) <> '//' and regexp_matches(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+')
-    then concat(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)', 1), href) else href end as dst
-  from hrefs where origin = 'crawl'
+
+def _url_parts(url: str, prefix: str) -> str:
+    rest = f"regexp_replace({url}, '^[a-zA-Z][a-zA-Z0-9+.-]*:', '')"
+    tail = f"regexp_replace({rest}, '^//[^/?#]*', '')"
+    return f"""regexp_extract({url}, '^([a-zA-Z][a-zA-Z0-9+.-]*):', 1) as {prefix}scheme, regexp_extract({rest}, '^//[^/?#]*') as {prefix}host,
+      regexp_extract({tail}, '^[^?#]*') as {prefix}path, regexp_extract({tail}, '^[^?#]*(\\?[^#]*)', 1) as {prefix}query,
+      regexp_extract({tail}, '#.*$') as {prefix}fragment"""
+
+
+def _resolution(name: str, source: str) -> str:
+    """CTEs that resolve ``ref`` against ``base`` of the rows (key, ref, base) of a table.
+
+    Dot segments by windows, not one after the other: the depth of the folder after each segment is a running sum,
+    kept at zero or above; a segment stays if the depth never falls below its own again.
+    """
+    return f"""
+{name}_parts as (select key, ref, base, {_url_parts("ref", "r_")}, {_url_parts("base", "b_")} from {source}),
+{name}_own as (select *, r_scheme <> '' and not (r_scheme = b_scheme and r_host = '' and left(r_path, 1) <> '/') as own from {name}_parts),
+{name}_whole as (
+  select key, ref, b_scheme <> '' and length(b_host) > 2 as absolute, r_fragment as fragment,
+    case when own then r_scheme else b_scheme end as scheme,
+    case when own or r_host <> '' then r_host else b_host end as host,
+    case when own or r_host <> '' or left(r_path, 1) = '/' then r_path when r_path = '' then b_path
+      else concat(coalesce(nullif(regexp_extract(b_path, '^.*/'), ''), '/'), r_path) end as path,
+    case when own or r_host <> '' or r_path <> '' or r_query <> '' then r_query else b_query end as query,
+    not own and r_host = '' and r_path = '' as untouched
+  from {name}_own
+),
+{name}_steps as (
+  select key, i, s, case s when '..' then -1 when '.' then 0 else 1 end as step, n
+  from (
+    select key, i, string_split(substr(path, 2), '/')[i] as s, len(string_split(substr(path, 2), '/')) as n
+    from {name}_whole, unnest(generate_series(1, len(string_split(substr(path, 2), '/')))) as g(i)
+    where left(path, 1) = '/' and not untouched)
+),
+{name}_sums as (select *, sum(step) over (partition by key order by i) as depth from {name}_steps),
+{name}_levels as (select *, depth - least(0, min(depth) over (partition by key order by i)) as level from {name}_sums),
+{name}_kept as (
+  select *, step = 1
+    and coalesce(min(level) over (partition by key order by i rows between 1 following and unbounded following), level) >= level as stays
+  from {name}_levels
+),
+{name}_paths as (
+  select key, concat('/', coalesce(string_agg(s, '/' order by i) filter (where stays), ''),
+    case when max(case when i = n then step end) < 1 and count(*) filter (where stays) > 0 then '/' else '' end) as path
+  from {name}_kept group by key
+),
+{name} as (
+  select w.key, case when absolute then concat(scheme, ':', host, coalesce(p.path, w.path), query, fragment) else ref end as dst
+  from {name}_whole w left join {name}_paths p on p.key = w.key
+)"""
+
+
+_PAGE_KEY, _LINK_KEY = "concat(origin, '/', page_id)", "concat(origin, '/', page_id, '/', pos)"
+_ABSOLUTE = f"""
+base_tags as (
+  select origin, page_id, i, regexp_extract_all(doc, '<base{_REST}')[i] as tag
+  from docs, unnest(generate_series(1, len(regexp_extract_all(doc, '<base{_REST}')))) as g(i)
+),
+bases as (
+  select {_PAGE_KEY} as key, arg_min(href, i) as ref
+  from (select *, {_value(_attr("tag", "href"))} as href from base_tags) where href is not null group by origin, page_id
+),
+page_keys as (select {_PAGE_KEY} as page_key, origin, page_id, url from all_pages),
+based as (select key, ref, url as base from bases join page_keys on page_key = key),
+{_resolution("base_urls", "based")},
+linked as (
+  select {_LINK_KEY} as key, href as ref, coalesce(b.dst, h.url) as base
+  from hrefs h left join base_urls b on b.key = {_PAGE_KEY}
 ),
+{_resolution("targets", "linked")},
+links as (select origin, page_id, url as src, pos, dst from hrefs h join targets t on t.key = {_LINK_KEY})"""
+
+_REAL = f"""{_ALL_PAGES},{_ABSOLUTE},
+real_links as (select page_id, src, pos, dst from links where origin = 'crawl'),
 wanted as (select url from pages union select dst from real_links),
 near as (
   select 0 as link_depth, url from seeds
@@ -163,11 +252,7 @@ near as (
 )"""
 
 
-_ABSOLUTE = """case
-    when left(href, 1) = '/' and left(href, 2) <> '//' and regexp_matches(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+')
-    then concat(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)', 1), href) else href end"""
-_LINKS = f"""{_ALL_PAGES},
-links as (select origin, page_id, url as src, {_ABSOLUTE} as dst from hrefs)"""
+_LINKS = f"{_ALL_PAGES},{_ABSOLUTE}"
 
 
 def _crawl(name: str, depth: int, condition: str = "true", seed_condition: str = "true") -> str:
@@ -310,7 +395,7 @@ ORACLE: dict[str, str] = {
     + """select origin, page_id, substr(page_url, 1, 80) as page_url, substr(title, 1, 100) as title,
           substr(author, 1, 100) as author, substr(charset, 1, 100) as charset, substr(keywords, 1, 2048) as keywords,
           substr(description, 1, 4000) as description, substr(body_text, 1, 100000) as body_text from stored""",
-    "resolve_links": _with(_WEB, _REAL) + "select page_id, pos, dst from real_links",
+    "resolve_links": _with(_LINKS) + "select origin, page_id, pos, dst from links",
     "random_order": """select page_id, row_number() over (order by md5(concat('42:', page_id)), page_id) - 1 as position
         from pages""",
     "frontier_all": _JOBS + _PER_URL,
@@ -342,6 +427,11 @@ ORACLE: dict[str, str] = {
         _WEB, _crawl("jobs", MAX_DEPTH, "contains(w.dst, 'http://')", "contains(url, 'http://')"), recursive=True
     )
     + "select distinct link_depth, url from jobs",
+    "frontier_dfs_order": _with(
+        _WEB, _crawl("jobs", MAX_DEPTH, "contains(w.dst, 'http://')", "contains(url, 'http://')"), recursive=True
+    )
+    # A path sorts before its extensions and, of two that part, the one with the later link comes first.
+    + """select row_number() over (order by list_transform(path, lambda p: -p)) - 1 as position, link_depth, url from jobs""",
     "frontier_fetch": _with(_WEB, _REAL)
     + """select n.link_depth, n.url, octet_length(encode(p.html))::bigint as n_bytes
         from near n left join pages p on p.url = n.url""",
@@ -430,6 +520,23 @@ ORACLE: dict[str, str] = {
         from parsed p where origin = 'crawl'""",
     "stream_throughput": """select user_id as worker, date_trunc('hour', ts)::timestamp as window_start, count(*) as jobs
         from events group by all""",
+    # A batch drops what is behind the watermark that the batch before it began with: for the third, that of the first.
+    "stream_late_rows": """with rows as (
+          select greatest(event_id % 10 - 7, 0) as part, ts, date_trunc('hour', ts) + interval 1 hour as closes from events
+        ), limits as (select max(ts) filter (where part = 0) - interval 1 day as watermark from rows),
+        told as (select part, part = 2 and epoch_ms(closes) <= epoch_ms(watermark) as late from rows, limits)
+        select part as batch_id, count(*) as n_arrived, 0::bigint as n_untimed, count(*) filter (where not late) as n_counted,
+          count(*) filter (where late) as n_late
+        from told group by part""",
+    "stream_frontier": f"""with recursive {_WEB}, found(link_depth, url) as (
+          select 0, url from seeds
+          union
+          select f.link_depth + 1, w.dst from found f join web w on w.src = f.url where f.link_depth < {MAX_DEPTH}
+        ) select min(link_depth) as link_depth, url from found group by url""",
+    "stream_frontier_all": _JOBS + _PER_URL,
+    "stream_crawl": _with(_WEB, _REAL)
+    + """select min(n.link_depth) as link_depth, n.url, n.url in (select url from pages) as stored
+        from near n where n.link_depth = 0 or n.url ilike 'http%' group by n.url""",
     "stream_sampler": _with(_SAMPLES, recursive=True)
     + """select d.worker, d.idx, d.jobs from dense d
         where d.idx < (select max(o.idx) from dense o where o.worker = d.worker)""",
@@ -449,9 +556,6 @@ ORACLE: dict[str, str] = {
         select e.link_depth, count(*) as n_jobs, count(p.url) as n_fetched,
           coalesce(sum(p.n_links), 0)::bigint as n_links, coalesce(sum(p.n_pruned), 0)::bigint as n_pruned
         from every e left join per_page p on p.url = e.url group by e.link_depth""",
-    "stage_chain": _with(_ALL_PAGES)
-    + f"""select {_domain('href')} as domain, count(*) as n_links from (
-          select case when left(href, 1) = '/' and left(href, 2) <> '//'
-            then concat(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)', 1), href) else href end as href
-          from hrefs) where href like 'http://%' group by 1""",
+    "stage_chain": _with(_LINKS)
+    + f"select {_domain('dst')} as domain, count(*) as n_links from links where dst like 'http://%' group by 1",
 }

@@ -28,6 +28,7 @@ from linkloom.sinks import series as series_sink
 from linkloom.sources import access, joblog, text
 from linkloom.sources import pages as page_reader
 from linkloom.streaming import crawl as ST
+from linkloom.streaming import queue as QU
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -237,7 +238,7 @@ def clip_columns(spark, sf_dir):
 
 @query
 def resolve_links(spark, sf_dir):
-    return I.real_edges(spark, sf_dir).select("page_id", F.col("pos").cast("long").alias("pos"), "dst")
+    return I.page_edges(spark, sf_dir).select("origin", "page_id", F.col("pos").cast("long").alias("pos"), "dst")
 
 
 @query
@@ -293,6 +294,14 @@ def frontier_dfs_set(spark, sf_dir):
     return FR.visited(seeds, edges, I.MAX_DEPTH)
 
 
+@query
+def frontier_dfs_order(spark, sf_dir):
+    keep = U.contains_http
+    seeds = O.with_position(I.domain_seeds(spark, sf_dir), ["page_id"]).where(keep(F.col("url")))
+    edges = I.web_edges(spark, sf_dir).where(keep(F.col("dst")))
+    return FR.depth_first(seeds, edges, I.MAX_DEPTH)
+
+
 def _near_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeds and what they link to; only the seeds' pages are parsed."""
     seeds = materialize(I.domain_seeds(spark, sf_dir), "seeds")
@@ -478,8 +487,15 @@ def page_table_routed(spark, sf_dir):
 
 @query
 def site_link_table(spark, sf_dir):
+    """Pages come in batches, each adding its links; one is repeated, and the first two are merged in between."""
     path = new_path(spark, "site-links")
-    link_sink.write_site_links(link_sink.site_link_rows(I.page_edges(spark, sf_dir)), path)
+    part = F.when(F.col("origin") == "crawl", 0).otherwise(1 + F.col("page_id") % 2)
+    pages = I.all_pages(spark, sf_dir).withColumn("_part", part)
+    for batch_id in (0, 1, 0, 2):
+        edges = P.absolute_links(pages.where(F.col("_part") == batch_id), ["url"]).withColumnRenamed("url", "src")
+        link_sink.add_site_links(link_sink.site_link_rows(edges), path, batch_id)
+        if batch_id == 1:
+            link_sink.merge_site_links(spark, path, 1)
     return link_sink.read_site_links(spark, path)
 
 
@@ -515,10 +531,15 @@ def _page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.read_table(spark, f"{sf_dir}/pages.parquet", "page_id bigint, url string, html string")
 
 
+EVENT = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_settings(spark)
-    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-    events = ST.read_table(spark, f"{sf_dir}/events.parquet", schema)
+    return _event_log(ST.read_table(spark, f"{sf_dir}/events.parquet", EVENT))
+
+
+def _event_log(events: DataFrame) -> DataFrame:
     n_links = F.get_json_object("props", "$.k")
     return joblog.job_log(events, F.col("user_id"), F.col("event_type"), F.col("ts").cast("timestamp"), n_links)
 
@@ -540,6 +561,45 @@ def stream_throughput(spark, sf_dir):
     return counted.select("worker", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "jobs")
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """A tenth of the events arrives after most others and a tenth after all, so most of these are behind the watermark."""
+    path = new_path(spark, "stream-late")
+    events = I.table(spark, sf_dir, "events")
+    part = F.pmod(F.col("event_id"), F.lit(10))
+    for some in (part < 8, part == 8, part == 9):
+        events.where(some).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    arriving = _event_log(ST.read_table(spark, f"{path}/in", EVENT, files_per_batch=1))
+    query = ST.throughput(arriving, 3_600, "1 day", path)
+    query.awaitTermination()
+    ST.note_arrivals(query, path)
+    return ST.read_late(spark, path, "bigint")
+
+
+@query
+def stream_frontier(spark, sf_dir):
+    """The queue is fed by its own batches; every url once."""
+    edges = I.web_edges(spark, sf_dir)
+    path = QU.crawl(I.domain_seeds(spark, sf_dir), lambda path: QU.by_edges(edges, I.MAX_DEPTH))
+    return QU.read_jobs(spark, path)
+
+
+@query
+def stream_frontier_all(spark, sf_dir):
+    edges = I.web_edges(spark, sf_dir)
+    path = QU.crawl(I.domain_seeds(spark, sf_dir), lambda path: QU.by_edges(edges, I.MAX_DEPTH), dedupe=False)
+    return QU.read_jobs(spark, path, dedupe=False)
+
+
+@query
+def stream_crawl(spark, sf_dir):
+    """Jobs fetch pages, which are stored, and their links become jobs."""
+    pages = materialize(I.pages(spark, sf_dir).dropDuplicates(["url"]), "crawled")
+    path = QU.crawl(I.domain_seeds(spark, sf_dir), lambda path: QU.by_pages(pages, 1, path, "any_http"))
+    stored = page_sink.read_pages(spark, f"{path}/pages").select(F.col("page_url").alias("url"), F.lit(True).alias("stored"))
+    return QU.read_jobs(spark, path).join(stored, "url", "left").select("link_depth", "url", F.coalesce("stored", F.lit(False)).alias("stored"))
+
+
 @query
 def stream_sampler(spark, sf_dir):
     path = new_path(spark, "stream-sampler")
@@ -576,9 +636,8 @@ def crawl_summary(spark, sf_dir):
 def stage_chain(spark, sf_dir):
     stages = [
         R.missing_pages,
-        lambda jobs: P.links(jobs, ["url"]),
-        lambda links: links.select("url", U.resolve(F.col("href"), F.col("url")).alias("href")),
-        lambda links: links.where(U.starts_with_http(F.col("href"))),
-        lambda links: links.groupBy(U.domain(F.col("href")).alias("domain")).agg(F.count("*").alias("n_links")),
+        lambda jobs: P.absolute_links(jobs, ["url"]),
+        lambda links: links.where(U.starts_with_http(F.col("dst"))),
+        lambda links: links.groupBy(U.domain(F.col("dst")).alias("domain")).agg(F.count("*").alias("n_links")),
     ]
     return run_stages(I.all_pages(spark, sf_dir), stages)

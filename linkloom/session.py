@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+#: Folder below the application's own that intermediate tables go to just now.
+_SCRATCH: ContextVar[str] = ContextVar("scratch", default="")
 
 
 def pin_settings(spark: SparkSession) -> SparkSession:
@@ -52,13 +57,52 @@ def _run_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in this application's part of the shared folder, never used before."""
-    return f"{_run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_run_dir(spark)}{_SCRATCH.get()}/{label}-{uuid.uuid4().hex}"
+
+
+def _place(spark: SparkSession, path: str) -> tuple:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is stored; none is fine."""
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none there is an empty one."""
+    files, place = _place(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the target appears with all its files at once where the store can do that."""
+    files, place = _place(spark, target)
+    files.mkdirs(place.getParent())
+    if not files.rename(_place(spark, source)[1], place):
+        raise OSError(f"could not move {source} to {target}")
 
 
 def release(spark: SparkSession) -> None:
     """Delete this application's intermediate tables once their results are saved."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, _run_dir(spark))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end, however it ends.
+
+    What is computed from them has to be saved, or shown, inside.
+    """
+    inner = f"{_SCRATCH.get()}/scratch-{uuid.uuid4().hex}"
+    token = _SCRATCH.set(inner)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        delete(spark, f"{_run_dir(spark)}{inner}")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

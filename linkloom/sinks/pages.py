@@ -13,7 +13,10 @@ from pyspark.errors import AnalysisException
 from linkloom.operators import pages as P
 from linkloom.operators.records import clip_columns
 from linkloom.schemas import PARSED_COLUMNS, PARSED_PAGE
+from linkloom.session import materialize
 
+# Folders that the keys of a page table are dealt into; fixed for the life of a table.
+KEY_BUCKETS = 64
 PAGE_COLUMNS = ["page_url", *[c for c in PARSED_COLUMNS if c != "links"]]
 
 
@@ -26,25 +29,6 @@ def page_rows(
     return clip_columns(rows.select(*(keep or []), *PAGE_COLUMNS), cut)
 
 
-def first_writes(
-    rows: DataFrame, order_by: list[str], stored: DataFrame | None = None, targets: list[str] | None = None
-) -> DataFrame:
-    """One row per page_url: the earliest one, unless the key is stored already.
-
-    With ``targets`` (the columns a submission is routed by) every target table has
-    keys of its own. The earliest row is an aggregate, so repeats of a popular url
-    are dropped before the shuffle; the anti join then meets each key once, on the
-    partitioning the aggregate left behind. ``stored`` is read for its keys only.
-    """
-    keys = [*(targets or []), "page_url"]
-    fields = [c for c in PAGE_COLUMNS if c != "page_url"]
-    first = rows.groupBy(*keys).agg(F.min_by(F.struct(*fields), F.struct(*order_by)).alias("_first"))
-    if stored is not None:
-        known = stored.select(*[F.col(k).cast("string").alias(k) for k in keys])
-        first = first.join(known, keys, "left_anti")
-    return first.select(*keys, *[f"_first.{c}" for c in fields])
-
-
 def _table_schema(targets: list[str] | None) -> T.StructType:
     """Stored columns; a target named by digits stays text."""
     texts = [T.StructField(c, T.StringType()) for c in [*PAGE_COLUMNS, *(targets or [])]]
@@ -55,41 +39,47 @@ def _same(left: str, right: str, columns: list[str]) -> Column:
     return reduce(and_, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
 
 
-def new_pages(
-    pages: DataFrame, order_by: list[str], stored: DataFrame | None = None, targets: list[str] | None = None
-) -> DataFrame:
-    """Offered pages (url, html, ...) to store: of each url the earliest, unless it is stored.
+def first_offers(pages: DataFrame, order_by: list[str], targets: list[str] | None = None) -> DataFrame:
+    """The earliest offer of each key: (targets..., url, _first). ``order_by`` must tell the offers of a
+    url apart. A page without url cannot be stored."""
+    keys = [*(targets or []), "url"]
+    return pages.where("url is not null").groupBy(*keys).agg(F.min(F.struct(*order_by)).alias("_first"))
 
-    Winners are chosen on the key and ``order_by`` alone, which must tell the offers of a
-    url apart; only they are read with their html. A page without url cannot be stored.
-    """
+
+def unknown(first: DataFrame, known: DataFrame | None, targets: list[str] | None = None) -> DataFrame:
+    """Offers whose key (targets..., url) is not known yet."""
+    if known is None:
+        return first
+    return first.alias("new").join(known.alias("old"), _same("new", "old", [*(targets or []), "url"]), "left_anti")
+
+
+def offered_pages(pages: DataFrame, first: DataFrame, order_by: list[str], targets: list[str] | None = None) -> DataFrame:
+    """Only the pages that are one of the offers; only they are read with their html."""
     keys = [*(targets or []), "url"]
-    first = pages.where("url is not null").groupBy(*keys).agg(F.min(F.struct(*order_by)).alias("_first"))
-    if stored is not None:
-        known = stored.select(*(targets or []), F.col("page_url").alias("url"))
-        first = first.alias("new").join(known.alias("old"), _same("new", "old", keys), "left_anti")
     wins = _same("offer", "first", keys) & F.struct(*[F.col(f"offer.{c}") for c in order_by]).eqNullSafe(F.col("first._first"))
     return pages.alias("offer").join(first.alias("first"), wins, "left_semi")
 
 
-def _stored(spark: SparkSession, path: str, batch_id: int, targets: list[str] | None = None) -> DataFrame | None:
-    """Keys stored by other batches, or None before the first write."""
+def _bucket(url: Column) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(KEY_BUCKETS)).cast("int").alias("bucket")
+
+
+def known_keys(
+    first: DataFrame, path: str, batch_id: int, targets: list[str] | None = None
+) -> DataFrame | None:
+    """Keys (targets..., url) that other batches stored, of the buckets that the offers fall into; None before the first
+    write. Keys stand in folders of their own, so no page row and no other bucket is read."""
+    spark = first.sparkSession
+    touched = [r.bucket for r in first.select(_bucket(F.col("url"))).distinct().collect()]  # at most KEY_BUCKETS
+    texts = [T.StructField(c, T.StringType()) for c in [*(targets or []), "url"]]
+    schema = T.StructType([*texts, T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())])
     try:
-        return spark.read.schema(_table_schema(targets)).parquet(path).where(F.col("batch_id") != batch_id)
+        keys = spark.read.schema(schema).parquet(f"{path}/_keys")
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-
-
-def append_pages(
-    rows: DataFrame, order_by: list[str], path: str, batch_id: int, targets: list[str] | None = None
-) -> None:
-    """Append new pages under ``path/batch_id=N``; repeating a batch replaces it.
-
-    ``targets`` become folders below the batch, one per target table.
-    """
-    _write(first_writes(rows, order_by, _stored(rows.sparkSession, path, batch_id, targets), targets), path, batch_id, targets)
+    return keys.where(F.col("bucket").isin(touched)).where(F.col("batch_id") != batch_id).drop("bucket", "batch_id")
 
 
 def store_pages(
@@ -100,16 +90,23 @@ def store_pages(
     targets: list[str] | None = None,
     widths: dict[str, int] | None = None,
 ) -> None:
-    """Parse and append the new ones of (url, html, ...) under ``path/batch_id=N``."""
-    new = new_pages(pages, order_by, _stored(pages.sparkSession, path, batch_id, targets), targets)
-    rows = page_rows(P.parse(new, ["url", *(targets or [])]), keep=targets, widths=widths)
-    _write(rows, path, batch_id, targets)
+    """Parse and append the new ones of (url, html, ...) under ``path/batch_id=N``; repeating a batch replaces it.
 
-
-def _write(rows: DataFrame, path: str, batch_id: int, targets: list[str] | None) -> None:
+    Of each url the earliest offer is stored, unless another batch stored the url. Winners are chosen on the key and
+    ``order_by`` alone, against the keys stored beside the pages. ``targets`` (the columns a submission is routed by)
+    become folders below the batch, one per target table, each with keys of its own.
+    """
+    first = materialize(first_offers(pages, order_by, targets), "first-offers")
+    new = materialize(unknown(first, known_keys(first, path, batch_id, targets), targets), "new-keys")
+    won = offered_pages(pages, new, order_by, targets)
+    rows = page_rows(P.parse(won, ["url", *(targets or [])]), keep=targets, widths=widths)
     if targets:  # one target's rows meet in few files, a popular target is split
         rows = rows.hint("rebalance", *targets)
     rows.write.mode("overwrite").partitionBy(*(targets or [])).parquet(f"{path}/batch_id={batch_id}")
+    # A repeated batch adds its keys again, which changes nothing.
+    texts = [F.col(c).cast("string").alias(c) for c in [*(targets or []), "url"]]
+    keys = new.select(*texts, F.lit(batch_id).cast("long").alias("batch_id"), _bucket(F.col("url")))
+    keys.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}/_keys")
 
 
 def read_pages(spark: SparkSession, path: str, targets: list[str] | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.operators import frontier as FR
+from linkloom.operators import visited
 from linkloom.operators.edges import store
 
 SMALL = [("a", 0, "b"), ("a", 1, "c"), ("b", 0, "d"), ("c", 0, "d"), ("d", 0, "a")]
@@ -93,6 +94,63 @@ def test_budget_below_one_is_no_limit(spark, max_jobs):
     assert got == [(i, depth, url) for i, (depth, url) in enumerate(crawl(seeds, edges, 2))]
 
 
+@pytest.mark.parametrize("max_depth", [0, 1, 3])
+@pytest.mark.parametrize("seed", [3, 4])
+@pytest.mark.parametrize("max_jobs", [0, 25])
+def test_depth_first_equals_a_stack(spark, seed, max_depth, max_jobs):
+    seeds, edges = random_graph(seed)  # has cycles
+    links = collections.defaultdict(list)
+    for src, _, dst in sorted(edges, key=lambda e: (e[0], e[1])):
+        links[src].append(dst)
+    stack, want = [(0, url) for url in seeds], []
+    while stack:
+        depth, url = stack.pop()
+        want.append((len(want), depth, url))
+        if depth < max_depth:
+            stack += [(depth + 1, dst) for dst in links[url]]
+    got = FR.depth_first(seed_table(spark, seeds), edge_table(spark, edges), max_depth, max_jobs)
+    assert sorted(map(tuple, got.collect())) == (want[:max_jobs] if max_jobs else want)
+
+
+def test_depth_first_on_a_tree(spark):
+    edges = [(f"t{i}", k, f"t{3 * i + k + 1}") for i in range(13) for k in range(3)]
+    got = FR.depth_first(seed_table(spark, ["t0"]), edge_table(spark, edges), 3).orderBy("position").collect()
+    assert [r.url for r in got[:6]] == ["t0", "t3", "t12", "t39", "t38", "t37"] and len(got) == 40
+
+
+def test_visited_urls_stay_where_they_are(spark):
+    seen = visited.create(spark)
+    for step in range(3):
+        rows = spark.createDataFrame([(f"u{i}", step) for i in range(step * 100, step * 100 + 100)], "url string, link_depth int")
+        seen.add(rows, step, placed=False)
+    new = spark.createDataFrame([(f"u{i}",) for i in range(250, 350)], "url string").distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        unseen = seen.unseen(new)
+        plan = unseen._jdf.queryExecution().executedPlan().toString()
+        assert unseen.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The only exchange is that of the new urls.
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Bucketed: true" in plan
+    seen.forget()
+
+
+def test_repeats_without_a_budget_are_not_hinted(spark):
+    stored = store(edge_table(spark, [("hub", i, f"t{i}") for i in range(50)]), ["pos", "dst"])
+    parents = spark.createDataFrame([("hub", i) for i in range(40)], "url string, _before bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        reached = FR._reached_with_repeats(stored, parents, 10)
+        plan = reached._jdf.queryExecution().optimizedPlan().toString()
+        assert reached.count() == 2_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("strategy=broadcast") <= 1  # the sliced sources, fewer than buckets
+    stored.forget()
+
+
 def test_depth_totals(spark):
     jobs = FR.expand_all(seed_table(spark, ["a"]), edge_table(spark, SMALL), 3)
     got = [tuple(r) for r in FR.depth_totals(jobs).orderBy("link_depth").collect()]

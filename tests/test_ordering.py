@@ -61,3 +61,22 @@ def test_url_list_keeps_file_order_over_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == dict(enumerate(lines))
     assert [r.url for r in text.first_urls(urls, 3).orderBy("line_no").collect()] == lines[:3]
+
+
+def test_smallest_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(O, "BINS", 4)
+    rng = random.Random(1)
+    values = rng.sample(range(-(10**15), 10**18), 400) + list(range(100, 300))
+    table = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(5)
+    for wanted in (0, 1, 17, 399, 599, 600, 10**9):
+        got = sorted(r.v for r in O.smallest(table, "v", wanted).collect())
+        assert got == sorted(values)[:wanted]
+    assert O.smallest(table.where("false"), "v", 5).collect() == []
+
+
+def test_pieces_are_small_and_in_order(spark):
+    table = spark.range(1_000).selectExpr("id % 3 as g", "id * 7 % 1000 as v").repartition(6)
+    rows = O.in_pieces(table, ["g", "v"], 16).orderBy("piece", "place").collect()
+    assert [(r.g, r.v) for r in rows] == sorted((i % 3, i * 7 % 1000) for i in range(1_000))
+    sizes = [n for _, n in sorted((p, sum(r.piece == p for r in rows)) for p in {r.piece for r in rows})]
+    assert max(sizes) <= 16

@@ -15,31 +15,33 @@ from linkloom.sinks import series as series_sink
 from linkloom.sources import pages as page_reader
 
 
-def stored_rows(spark, rows):
-    table = spark.createDataFrame(rows, "page_url string, t int, title string")
-    for name in ("author", "charset", "description", "body_text"):
-        table = table.withColumn(name, F.lit(None).cast("string"))
-    return table.withColumn("keywords", F.lit(""))
+OFFER = "id int, url string, html string"
+
+
+def offers(spark, rows):
+    return spark.createDataFrame([(t, url, f"<meta name=title content={title}>") for url, t, title in rows], OFFER)
 
 
 def test_first_write_wins(spark, tmp_path):
     path = f"file://{tmp_path}/pages"
-    page_sink.append_pages(stored_rows(spark, [("u1", 0, "old")]), ["t"], path, 0)
-    new = stored_rows(spark, [("u1", 1, "new"), ("u2", 3, "late"), ("u2", 2, "early")])
+    page_sink.store_pages(offers(spark, [("u1", 0, "old")]), ["id"], path, 0)
+    new = offers(spark, [("u1", 1, "new"), ("u2", 3, "late"), ("u2", 2, "early")])
     for _ in range(2):
-        page_sink.append_pages(new, ["t"], path, 1)
-        got = {(r.page_url, r.title) for r in page_sink.read_pages(spark, path).collect()}
-        assert got == {("u1", "old"), ("u2", "early")}
+        page_sink.store_pages(new, ["id"], path, 1)
+        got = [(r.page_url, r.title) for r in page_sink.read_pages(spark, path).collect()]
+        assert sorted(got) == [("u1", "old"), ("u2", "early")]
+    page_sink.store_pages(new, ["id"], path, 2)
+    assert page_sink.read_pages(spark, path).count() == 2
 
 
 def test_targets_have_their_own_keys(spark, tmp_path):
     path = f"file://{tmp_path}/pages"
-    rows = stored_rows(spark, [("u1", 0, "a"), ("u1", 1, "b"), ("u1", 2, "c")]).withColumn(
-        "database", F.when(F.col("t") == 1, "y").otherwise("x")
+    rows = offers(spark, [("u1", 0, "a"), ("u1", 1, "b"), ("u1", 2, "c")]).withColumn(
+        "database", F.when(F.col("id") == 1, "y").otherwise("x")
     )
-    page_sink.append_pages(rows, ["t"], path, 0, ["database"])
-    page_sink.append_pages(rows, ["t"], path, 1, ["database"])
-    got = {(r.database, r.page_url, r.title) for r in page_sink.read_pages(spark, path).collect()}
+    page_sink.store_pages(rows, ["id"], path, 0, ["database"])
+    page_sink.store_pages(rows, ["id"], path, 1, ["database"])
+    got = {(r.database, r.page_url, r.title) for r in page_sink.read_pages(spark, path, ["database"]).collect()}
     assert got == {("x", "u1", "a"), ("y", "u1", "b")}
 
 
@@ -54,22 +56,23 @@ def test_release_deletes_only_this_run(spark, tmp_path):
         spark.read.parquet(stored.inputFiles()[0]).count()
 
 
-def test_first_writes_shuffle_once(spark, tmp_path):
+def test_only_keys_of_the_touched_buckets_are_read(spark, tmp_path):
     path = f"file://{tmp_path}/pages"
-    page_sink.append_pages(stored_rows(spark, [("u1", 0, "old")]), ["t"], path, 0)
-    stored = spark.read.parquet(path)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        new = page_sink.first_writes(stored_rows(spark, [("u2", 1, "x")]), ["t"], stored)
-        plan = new._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # One exchange for the rows, one for the stored keys.
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert "ReadSchema: struct<page_url:string>" in plan
-
-
-OFFER = "id int, url string, html string"
+    page_sink.store_pages(offers(spark, [(f"u{i}", i, "old") for i in range(500)]), ["id"], path, 0)
+    offered = page_sink.first_offers(offers(spark, [("u3", 0, "x"), ("new", 1, "y")]), ["id"])
+    known = page_sink.known_keys(offered, path, 1)
+    folders = {f.rpartition("/")[0].rpartition("/")[2] for f in known.inputFiles()}
+    assert len(list((tmp_path / "pages" / "_keys").glob("bucket=*"))) > 40
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    assert "ReadSchema: struct<url:string,batch_id:bigint>" in plan
+    rows = known.collect()
+    buckets = {r.bucket for r in offered.select(page_sink._bucket(F.col("url"))).collect()}
+    assert folders <= {f"bucket={n}" for n in range(page_sink.KEY_BUCKETS)} and len(buckets) == 2
+    assert {r.url for r in rows} == {f"u{i}" for i in range(500)} & {
+        r.url for r in spark.read.parquet(f"{path}/_keys").where(F.col("bucket").isin(*buckets)).collect()
+    }
+    assert [r.url for r in page_sink.unknown(offered, known).collect()] == ["new"]
 
 
 def test_long_urls_and_texts_are_stored_whole(spark, tmp_path):
@@ -94,7 +97,8 @@ def test_targets_named_by_digits_stay_text(spark, tmp_path):
 
 def test_only_winners_are_parsed(spark):
     pages = spark.createDataFrame([(1, "u", "<body>b"), (2, "u", "<body>c")], OFFER)
-    parsed = page_sink.page_rows(P.parse(page_sink.new_pages(pages, ["id"]), ["url"]))
+    won = page_sink.offered_pages(pages, page_sink.first_offers(pages, ["id"]), ["id"])
+    parsed = page_sink.page_rows(P.parse(won, ["url"]))
     plan = parsed._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp" not in plan[plan.index("LeftSemi") :].lower()
 
@@ -137,7 +141,7 @@ def test_site_links(spark, tmp_path):
         "src string, dst string",
     )
     path = f"file://{tmp_path}/links"
-    link_sink.write_site_links(link_sink.site_link_rows(edges), path)
+    link_sink.add_site_links(link_sink.site_link_rows(edges), path, 0)
     assert {tuple(r) for r in link_sink.read_site_links(spark, path).collect()} == {
         ("www.a", "www_a", "b.example", 2),
         ("c.example", "c_example", "www.a", 1),
@@ -146,6 +150,42 @@ def test_site_links(spark, tmp_path):
     assert tuple(G.hostless(edges).first()) == (1, 4)
 
 
+def test_site_link_batches_add_up(spark, tmp_path):
+    path = f"file://{tmp_path}/links"
+
+    def edges(rows):
+        return spark.createDataFrame([(f"http://{a}/", f"http://{b}/") for a, b in rows], "src string, dst string")
+
+    assert link_sink.read_site_links(spark, path).collect() == []
+    batches = [[("a", "b"), ("a", "b"), ("c", "a")], [("a", "b")], [("a", "c"), ("c", "a")], [("d", "a")]]
+    whole = link_sink.site_link_rows(edges(sum(batches, [])))
+    for n in (0, 1, 1, 0, 2):
+        link_sink.add_site_links(link_sink.site_link_rows(edges(batches[n])), path, n)
+        if n == 2:
+            link_sink.merge_site_links(spark, path, 1)
+    # Batch 1 is merged by now, batch 2 is not.
+    for n in (1, 2, 3):
+        link_sink.add_site_links(link_sink.site_link_rows(edges(batches[n])), path, n)
+    assert sorted(link_sink.read_site_links(spark, path).collect()) == sorted(whole.collect())
+    link_sink.merge_site_links(spark, path, 3)
+    link_sink.merge_site_links(spark, path, 2)
+    assert session.folders(spark, f"{path}/added") == [] and session.folders(spark, f"{path}/whole") == ["upto=3"]
+    assert sorted(link_sink.read_site_links(spark, path).collect()) == sorted(whole.collect())
+    assert [r.n_links for r in link_sink.read_site_links(spark, path, "a").orderBy("link_to").collect()] == [3, 1]
+
+
+def test_scratch_goes_with_its_block(spark):
+    with session.scratch(spark):
+        stored = session.materialize(spark.range(3), "x")
+        with session.scratch(spark):
+            inner = session.materialize(spark.range(4), "y")
+            assert inner.count() == 4
+        assert stored.count() == 3
+        with pytest.raises(Exception, match="not exist|No such file|PATH_NOT_FOUND"):
+            inner.collect()
+    assert not any(f.startswith("scratch") for f in session.folders(spark, session._run_dir(spark)))
+
+
 def test_link_list_appends(spark, tmp_path):
     path = f"file://{tmp_path}/list"
     links = spark.createDataFrame([("a",), ("b",)], "href string")
@@ -183,6 +223,17 @@ def test_series_report(spark, tmp_path):
     assert spark.read.text(f"file://{tmp_path}/r").count() == 6
 
 
+def test_long_series_are_strung_together_from_pieces(spark, monkeypatch):
+    monkeypatch.setattr(RP, "PIECE", 7)
+    n = 1_000
+    points = spark.range(n).selectExpr("if(id % 3 = 0, 'a', 'b') as series", "int(id) as idx", "id * 2 as value").repartition(5)
+    lines = [r.line for r in RP.series_report(points).orderBy("line_no").collect()]
+    assert lines == [
+        "series0_name=a", "series0_data=" + ",".join(str(2 * i) for i in range(0, n, 3)),
+        "series1_name=b", "series1_data=" + ",".join(str(2 * i) for i in range(n) if i % 3),
+    ]
+
+
 def test_jobs_and_fetch(spark):
     clock = F.lit("2024-01-01 00:00:00").cast("timestamp")
     jobs = R.build_jobs(spark.createDataFrame([("u1",), ("u2",), ("u1",)], "url string"), 1, clock)
