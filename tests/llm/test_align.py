@@ -79,6 +79,27 @@ def test_very_long_text(spark):
     assert row.n_links == row.n_a + row.n_b - row.n_groups and row.n_a > 60_000
 
 
+def by_library(text):
+    return A.library.encode(" " + text, add_special_tokens=False).ids
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from(list("abcdest'THLR 019½²ªº.,!?_<|>\t\n\r\x1c\x85\xa0éßÀǅɏ中ʼ")), max_size=60))
+def test_merging_by_rank_gives_the_tokens_of_the_library(text):
+    assert list(A.encode([text])[0]) == by_library(text)
+
+
+def test_every_settled_character_and_token_is_encoded_alike():
+    for code in range(0x250):
+        for text in (f"a{chr(code)}b", f" {chr(code) * 2} ", f"1{chr(code)}1'{chr(code)}s", f"\n{chr(code)}\n {chr(code)}!"):
+            assert list(A.by_rank.encode_ordinary(" " + text)) == by_library(text)
+    texts = [t.decode() for t in A.tokens if not any(b & 128 for b in t)]
+    for text, ids in zip(texts, A.library.encode_batch([" " + t for t in texts], add_special_tokens=False), strict=True):
+        assert list(A.by_rank.encode_ordinary(" " + text)) == ids.ids
+    for text in ("x" * 3000, " " * 3000, "ab " * 2000, "é" * 999):
+        assert list(A.encode([text])[0]) == by_library(text)
+
+
 lengths = st.lists(st.integers(1, 6), min_size=1, max_size=30)
 
 
