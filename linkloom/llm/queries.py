@@ -65,8 +65,7 @@ def op8_quality(spark, sf_dir):
 
 @query
 def op9_toxicity(spark, sf_dir):
-    scored = toxicity.score_toxicity(common.documents(spark, sf_dir), _labels(spark, sf_dir))
-    return scored.select("doc_id", "held_out", "score", "predicted")
+    return toxicity.score_toxicity(common.documents(spark, sf_dir), _labels(spark, sf_dir))
 
 
 @query

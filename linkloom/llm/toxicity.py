@@ -1,34 +1,34 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
 Examples are a bounded sample of labelled documents (``PER_CLASS`` each). Every example is
-indexed with all its words and beginnings of words. Terms weigh more the clearer they are associated with the toxic
+indexed with all its words. Words weigh more the clearer they are associated with the toxic
 class; families of near copies count once in that, so one copied text cannot make its own words look toxic. No
-term weighs nothing, so a copy of an example always finds it. Document
+word weighs nothing, so a copy of an example always finds it. Document
 frequencies come from all documents. Examples sit in an inverted index in blocks, each term with its
 largest weight per block: a block is read only while its bound reaches the k-th best
 similarity, so the neighbours are exact. The most frequent terms, which every block has, are whole columns
 instead and are multiplied for many documents at once. Votes weigh by a power of similarity and by the share of their class, and
 are calibrated on the examples themselves, each scored without itself.
+
+Words are told apart by 64-bit numbers, which are made and looked up for a whole batch of texts at once.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm import common
+from linkloom.llm import byte_words, common
 from linkloom.session import materialize
 
-#: Labelled documents of a class that may be examples.
+#: Labelled documents of a class that may be examples, and different words that all examples together may have.
 PER_CLASS, SEED = 1500, 9
+MAX_CELLS = 8_000_000
 NEIGHBOURS, BLOCK, THRESHOLD = 10, 64, 0.5
 #: Association (chi-square of one degree) and lift from which a term has its full weight, and the part of it that any term has.
 ASSOCIATION, LIFT, LEAST_PART = 25.0, 4.0, 0.01
@@ -38,23 +38,52 @@ BANDS, BAND_ROWS = 8, 8
 PRIOR_VOTE, SHARPNESS = 0.05, 4
 #: Blocks that are read before others are ruled out; most frequent terms, held as whole columns, and the least part of examples with one.
 FIRST_BLOCKS, COLUMNS, COLUMN_PART = 4, 1024, 1 / 16
-#: Letters of the beginnings of words that are terms too, and words a worker remembers.
-STEMS, CACHED_WORDS = range(3, 9), 300_000
 _ROWS = 1 << 16
-_WORD = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
-
-
-def terms_of(word: str) -> list[str]:
-    """The word itself and its beginnings, which stand for a stem with any ending."""
-    return [word, *[word[:n] + "*" for n in STEMS if n < len(word)]]
-
-
-def families(bags: list[list[str]]) -> np.ndarray:
-    """Number of the family of near copies of each bag: bags that agree in all least
+    """The words of one text, as they are counted."""
+    found = byte_words.words_of(pa.array([text], pa.string()))
+    return [found.buffer[a:b].tobytes().decode() for a, b in zip(found.starts, found.ends, strict=True)]
+
+
+def cells_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, word number and count of every different word of every text, by text and number."""
+    found = byte_words.words_of(texts)
+    numbers = byte_words.hash64(found)
+    order = np.lexsort((numbers, found.rows))
+    rows, numbers = found.rows[order], numbers[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (numbers[1:] != numbers[:-1])
+    first = np.flatnonzero(new)
+    return rows[first], numbers[first], np.diff(np.append(first, len(rows)))
+
+
+class Vocabulary:
+    """Terms are places in the sorted numbers of the words of all examples."""
+
+    def __init__(self, numbers: np.ndarray):
+        self.numbers = numbers
+
+    def known(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which numbers are terms, and those terms."""
+        if not len(self.numbers):
+            return np.zeros(len(numbers), bool), np.empty(0, np.int64)
+        at = np.minimum(np.searchsorted(self.numbers, numbers), len(self.numbers) - 1)
+        here = self.numbers[at] == numbers
+        return here, at[here]
+
+    def bags(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Terms and counts of every text."""
+        rows, numbers, counts = cells_of(texts)
+        here, terms = self.known(numbers)
+        edges = np.searchsorted(rows[here], np.arange(len(texts) + 1))
+        counts = counts[here].astype(float)
+        return [(terms[a:b], counts[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def families(bags: list) -> np.ndarray:
+    """Number of the family of near copies of each bag of words or word numbers: bags that agree in all least
     hashes of a band, in any of the bands, are together."""
     parent = np.arange(len(bags))
 
@@ -67,41 +96,40 @@ def families(bags: list[list[str]]) -> np.ndarray:
     odd = np.random.default_rng(SEED).integers(1 << 62, size=BANDS * BAND_ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
     first: dict[tuple, int] = {}
     for i, bag in enumerate(bags):
-        if bag:
-            hashes = np.array([zlib.crc32(w.encode()) for w in bag], np.uint64)
-            least = ((hashes[:, None] * odd) >> np.uint64(16)).min(axis=0).reshape(BANDS, BAND_ROWS)
-            for band, values in enumerate(least.tolist()):
+        if len(bag):
+            hashes = np.array([zlib.crc32(w.encode()) if isinstance(w, str) else w & 0xFFFFFFFF for w in bag], np.uint64)
+            least = np.full(BANDS * BAND_ROWS, ~np.uint64(0))
+            for at in range(0, len(hashes), _ROWS):
+                least = np.minimum(least, ((hashes[at : at + _ROWS, None] * odd) >> np.uint64(16)).min(axis=0))
+            for band, values in enumerate(least.reshape(BANDS, BAND_ROWS).tolist()):
                 parent[root(i)] = root(first.setdefault((band, *values), i))
     return np.array([root(i) for i in range(len(bags))])
 
 
-def parts(terms: list[str], rows: np.ndarray, of: np.ndarray, family: np.ndarray, y: np.ndarray) -> np.ndarray:
+def parts(n_terms: int, rows: np.ndarray, of: np.ndarray, family: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Part of its weight that each term has, from the cells (``rows``, term number ``of``) of all
     examples: rising to one with its association with class 1, families counted once per class.
-    Of terms in the same families the longest stands for all."""
+    Of terms in the same families one stands for all."""
     places, place = np.unique(family * 2 + y, return_inverse=True)
     toxic = places % 2
     n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
-    part = np.full(len(terms), LEAST_PART)
+    part = np.full(n_terms, LEAST_PART)
     if not n0 or not n1:
         return part
     cells = np.unique(of.astype(np.int64) * len(places) + place[rows])
     at, where = cells // len(places), cells % len(places)
-    seen = np.bincount(at, minlength=len(terms)).astype(float)
-    has = np.bincount(at, toxic[where], len(terms))
+    seen = np.bincount(at, minlength=n_terms).astype(float)
+    has = np.bincount(at, toxic[where], n_terms)
     expected = n1 * seen / (n0 + n1)
     spread = expected * (n0 / (n0 + n1)) * (1 - seen / (n0 + n1))
     strength = np.where(spread > 0, (has - expected) ** 2 / np.maximum(spread, 1e-300), 0.0)
     lift = (has + 0.5) * n0 / ((seen - has + 0.5) * n1)
     wanted = np.where(lift >= LIFT, np.minimum(strength / ASSOCIATION, 1.0) ** 2, 0.0)
-    key = np.zeros(len(terms), np.uint64)
+    key = np.zeros(n_terms, np.uint64)
     np.add.at(key, at, np.random.default_rng(SEED).integers(1 << 63, size=len(places)).astype(np.uint64)[where])
-    best: dict[int, tuple] = {}
-    for t in np.flatnonzero(wanted > LEAST_PART).tolist():
-        k = int(key[t])
-        best[k] = min(best.get(k, (1, "", 0)), (-len(terms[t]), terms[t], t))
-    for *_, t in best.values():
-        part[t] = wanted[t]
+    strong = np.flatnonzero(wanted > LEAST_PART)
+    _, stands = np.unique(key[strong], return_index=True)
+    part[strong[stands]] = wanted[strong[stands]]
     return part
 
 
@@ -204,8 +232,8 @@ class BlockMaxIndex:
 
 
 class ToxicityModel:
-    def __init__(self, vocabulary: list[str], idf: np.ndarray, index: BlockMaxIndex | None, share: float, bare: float = 0.0, slope: float = 1.0, offset: float = 0.0):
-        self.numbers = {w: i for i, w in enumerate(vocabulary)}
+    def __init__(self, vocabulary: Vocabulary, idf: np.ndarray, index: BlockMaxIndex | None, share: float, bare: float = 0.0, slope: float = 1.0, offset: float = 0.0):
+        self.vocabulary = vocabulary
         self.idf, self.index, self.share, self.bare, self.slope, self.offset = idf, index, share, bare, slope, offset
 
     def votes(self, texts: list[tuple[np.ndarray, np.ndarray]], skips: list[int] | None = None) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
@@ -245,45 +273,23 @@ class ToxicityModel:
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [sorted(Counter(words(t.as_py())).items()) for t in batch.column(2)]
-        bags = pa.array([[w for w, _ in f] for f in found], pa.list_(pa.string()))
-        counts = pa.array([[n for _, n in f] for f in found], pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], bags, counts], ["doc_id", "label", "bag", "counts"])
-
+        rows, numbers, counts = cells_of(batch.column(2))
+        edges = pa.array(np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32))
+        bags = [pa.ListArray.from_arrays(edges, pa.array(x)) for x in (numbers, counts.astype(np.int32))]
+        n = pa.array(np.diff(edges.to_numpy()).astype(np.int64))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], n, *bags], ["doc_id", "label", "n", "bag", "counts"])
 
-class Terms:
-    """Numbers of the terms of a text, and their counts."""
 
-    def __init__(self, numbers: dict[str, int]):
-        self.numbers, self.known = numbers, {}
-
-    def of_word(self, word: str) -> tuple[int, ...]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= CACHED_WORDS:
-                self.known.clear()
-            found = self.known[word] = tuple(self.numbers[t] for t in terms_of(word) if t in self.numbers)
-        return found
-
-    def of_words(self, tally: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        found = [self.of_word(w) for w in tally]
-        flat = np.fromiter(chain.from_iterable(found), np.int64)
-        times = np.repeat(np.fromiter(tally.values(), float, len(tally)), [len(f) for f in found])
-        terms, at = np.unique(flat, return_inverse=True)
-        return terms, np.bincount(at, times, len(terms))
-
-
-def _frequencies(numbers):
+def _frequencies(vocabulary):
     """Documents with each term, counted per partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, n = Terms(numbers.value), 0
-        found = np.zeros(len(reader.numbers), np.int64)
+        n = 0
+        found = np.zeros(len(vocabulary.value.numbers), np.int64)
         for batch in batches:
             n += batch.num_rows
-            for text in batch.column(0):
-                seen = [reader.of_word(w) for w in set(words(text.as_py()))]
-                found[np.fromiter(chain.from_iterable(seen), np.int64)] += 1  # a repeated number counts once
+            _, terms = vocabulary.value.known(cells_of(batch.column(0))[1])
+            found += np.bincount(terms, minlength=len(found))
         some = np.flatnonzero(found)
         # Term -1 counts the documents.
         for at in range(-1, len(some), _ROWS):
@@ -294,6 +300,18 @@ def _frequencies(numbers):
     return run
 
 
+def _examples(bags: DataFrame) -> pa.Table:
+    """The bags to learn from: all, or as many whole ones, in seeded order and as many of each class, as have
+    ``MAX_CELLS`` cells in all. The driver holds 12 bytes a cell."""
+    sizes = bags.select("doc_id", "label", "n").toPandas()  # at most 2 * PER_CLASS narrow rows
+    sizes["order"] = [zlib.crc32(f"{SEED}:{d}".encode()) for d in sizes.doc_id]
+    sizes["nth"] = sizes.sort_values(["order", "doc_id"]).groupby("label").cumcount()
+    sizes = sizes.sort_values(["nth", "label"])
+    taken = sizes[sizes.n.cumsum() <= MAX_CELLS]
+    few = bags.sparkSession.createDataFrame([(int(d),) for d in taken.doc_id], "doc_id long")
+    return bags.join(F.broadcast(few), "doc_id").select("doc_id", "label", "bag", "counts").toArrow().sort_by("doc_id").combine_chunks()
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: tuple[int, int] = (5, 0)) -> ToxicityModel:
     n, remainder = held_out
     learned = labels.where(common.crc_mod("doc_id", n) != remainder).where(F.col(label).isin(0, 1))
@@ -301,29 +319,29 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: tupl
     few = sample.select("doc_id", F.col(label).cast("int").alias("_label"))
     # At most 2 * PER_CLASS narrow rows.
     chosen = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("doc_id", "_label", "text")
-    bags = chosen.mapInArrow(_bags, "doc_id long, label int, bag array<string>, counts array<int>")
-    rows = bags.groupBy("doc_id").agg(F.min(F.struct("label", "bag", "counts")).alias("b")).select("doc_id", "b.*").toArrow()
-    rows = rows.sort_by("doc_id").combine_chunks()
+    bags = chosen.mapInArrow(_bags, "doc_id long, label int, n long, bag array<long>, counts array<int>")
+    one = bags.groupBy("doc_id").agg(F.min(F.struct("label", "n", "bag", "counts")).alias("b")).select("doc_id", "b.*")
+    rows = _examples(materialize(one, "toxic-bags"))
+    vocabulary = Vocabulary(np.empty(0, np.int64))
     if not rows.num_rows:
-        return ToxicityModel([], np.empty(0), None, 0.0)
+        return ToxicityModel(vocabulary, np.empty(0), None, 0.0)
     y = rows["label"].to_numpy().astype(np.int64)
-    numbers: dict[str, int] = {}
-    for bag in rows["bag"]:
-        for word in bag.as_py():
-            if word not in numbers:
-                for t in terms_of(word):
-                    numbers.setdefault(t, len(numbers))
-    vocabulary, reader = list(numbers), Terms(numbers)
-    bare = [reader.of_words(dict(zip(b.as_py(), c.as_py(), strict=True))) for b, c in zip(rows["bag"], rows["counts"], strict=True)]
-    family = families([bag.as_py() for bag in rows["bag"]])
-    cells = np.repeat(np.arange(len(bare)), [len(t) for t, _ in bare])
-    part = parts(vocabulary, cells, np.concatenate([t for t, _ in bare]), family, y)
-    shared = docs.sparkSession.sparkContext.broadcast(numbers)
+    bag, counts = (rows[c].combine_chunks() for c in ("bag", "counts"))
+    edges = bag.offsets.to_numpy()
+    numbers, times = bag.values.to_numpy(), counts.values.to_numpy().astype(float)
+    vocabulary = Vocabulary(np.unique(numbers[edges[0] : edges[-1]]))
+    terms = np.searchsorted(vocabulary.numbers, numbers)
+    bare = [(terms[a:b], times[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    family = families([numbers[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)])
+    cells = np.repeat(np.arange(len(bare)), np.diff(edges))
+    n_terms = len(vocabulary.numbers)
+    part = parts(n_terms, cells, np.concatenate([t for t, _ in bare]), family, y)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     counted = docs.select("text").mapInArrow(_frequencies(shared), "term int, n long")
-    df, n_docs = np.zeros(len(vocabulary)), 0
+    df, n_docs = np.zeros(n_terms), 0
     found = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row per term
-    terms, counts = found["term"].to_numpy(), found["n"].to_numpy()
-    df[terms[terms >= 0]], n_docs = counts[terms >= 0], int(counts[terms < 0].sum())
+    of, n_of = found["term"].to_numpy(), found["n"].to_numpy()
+    df[of[of >= 0]], n_docs = n_of[of >= 0], int(n_of[of < 0].sum())
     idf = (np.log((1 + n_docs) / (1 + df)) + 1) * part
     sizes = dict(sample.groupBy(label).agg(F.max("class_size")).collect())
     vote = np.array([sizes.get(c, 0) / max(1, (y == c).sum()) for c in (0, 1)])[y]
@@ -333,7 +351,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: tupl
     index = None
     if known:
         made = [(bare[i][0], weights(*bare[i], idf)) for i in known]
-        index = BlockMaxIndex(rows["doc_id"].to_numpy()[known], made, y[known], vote[known], len(numbers))
+        index = BlockMaxIndex(rows["doc_id"].to_numpy()[known], made, y[known], vote[known], n_terms)
     # What the examples without a word say is the share of texts without one.
     silent = np.setdiff1d(np.arange(len(bare)), known)
     said = float((vote[silent] * y[silent]).sum() / vote[silent].sum()) if len(silent) else share
@@ -359,11 +377,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        reader = Terms(model.numbers)
         for batch in batches:
             scores, evidence = [], []
-            texts = [reader.of_words(Counter(words(text.as_py()))) for text in batch.column(1)]
-            for odds, rows, sims in model.votes(texts):
+            for odds, rows, sims in model.votes(model.vocabulary.bags(batch.column(1))):
                 scores.append(model.score(odds) if model.index is not None or model.share else 0.0)
                 evidence.append(
                     [{"doc_id": int(model.index.ids[r]), "similarity": float(s), "toxic": int(model.index.y[r])} for r, s in zip(rows, sims, strict=True)]
