@@ -32,7 +32,7 @@ COPY_RATIO, MOST_COPIES = 1.06, 3
 #: A query reads lists within this ratio of the nearest list's distance, and so many vectors at least.
 READ_RATIO, READ_ROWS = 1.26, 512
 LINKS, BEAM = 16, 48
-#: Vectors and queries of one part.
+#: Vectors of one part of a list, and queries of one cut.
 PART_ROWS = 4096
 
 
@@ -147,7 +147,10 @@ def _usable(vectors: DataFrame) -> DataFrame:
 
 
 def _matrix(column) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
+    """The vectors, each scaled by a power of two to components below one: cosines stay the same to the last
+    digit, and no norm or product can over- or underflow."""
+    x = np.stack(column.to_numpy()).astype(np.float64)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
 
 
 def _assigned(centroids: np.ndarray):
@@ -220,7 +223,7 @@ def nearest(vectors: DataFrame, k: int = NEAREST, step: int = QUERY_STEP) -> Dat
     wanted = rows.where(F.pmod("vec_id", F.lit(step)) == 0).select("vec_id", "_row", "embedding")
     asked = wanted.join(entries.select("rep", "embedding"), "embedding").select("rep", "vec_id", "_row")
     asked = materialize(asked, "ann-queries")
-    n, n_asked = entries.count(), asked.select("rep").distinct().count()
+    n = entries.count()
     sample_rows = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * d)))
     taken = entries.orderBy(F.xxhash64("embedding", F.lit(SEED)), "rep").limit(sample_rows).select("embedding").toPandas()
     sample = unit(_matrix(taken["embedding"]))
@@ -233,17 +236,25 @@ def nearest(vectors: DataFrame, k: int = NEAREST, step: int = QUERY_STEP) -> Dat
         sizes[number] = count
     graph = CentroidGraph(centroids, sizes)
     queries = entries.select("rep", "embedding").join(asked.select("rep").distinct(), "rep", "left_semi")
-    routed = queries.mapInPandas(_routed(graph), "query long, list long, embedding array<double>")
-    # Parts: a list's vectors and the queries that read it are both dealt by hash.
-    list_parts = F.array(*[F.lit(int(-(-s // PART_ROWS) or 1)) for s in sizes.tolist()])
-    asked_parts = max(1, -(-n_asked // PART_ROWS))
-    part = F.pmod(F.xxhash64("rep"), F.element_at(list_parts, (F.col("list") + 1).cast("int")))
-    cut = F.pmod(F.xxhash64("query"), F.lit(asked_parts))
-    left = routed.select(
-        F.col("query").alias("rep"), "list", "embedding", cut.alias("cut"),
-        F.explode(F.sequence(F.lit(0), F.element_at(list_parts, (F.col("list") + 1).cast("int")) - 1)).alias("part"),
+    routed = materialize(queries.mapInPandas(_routed(graph), "query long, list long, embedding array<double>"), "ann-routed")
+    asking = np.zeros(len(centroids), np.int64)
+    for number, count in routed.groupBy("list").count().collect():  # one row per centroid
+        asking[number] = count
+
+    # A list's vectors are dealt into parts by hash, and the queries that read it into cuts: a vector is copied once for each
+    # cut of its own list, so a list that few queries read is not copied, and one that no query reads does not move.
+    def dealt(counts: np.ndarray) -> F.Column:
+        of_list = F.array(*[F.lit(-(-c // PART_ROWS)) for c in counts.tolist()])
+        return F.element_at(of_list, (F.col("list") + 1).cast("int"))
+
+    parts, cuts = dealt(sizes), dealt(asking)
+    left = routed.where(parts > 0).select(
+        F.col("query").alias("rep"), "list", "embedding", F.pmod(F.xxhash64("query"), cuts).alias("cut"),
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
+    )
+    right = lists.where(cuts > 0).select(
+        "rep", "list", "embedding", F.pmod(F.xxhash64("rep"), parts).alias("part"), F.explode(F.sequence(F.lit(0), cuts - 1)).alias("cut")
     )
-    right = lists.select("rep", "list", "embedding", part.alias("part"), F.explode(F.sequence(F.lit(0), F.lit(asked_parts - 1))).alias("cut"))
     key = ["list", "part", "cut"]
     left, right = (x.withColumns({c: F.col(c).cast("long") for c in key}) for x in (left, right))
     met = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_best_of(k + 1), "query long, rep long, score double")

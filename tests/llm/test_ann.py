@@ -71,3 +71,20 @@ def test_rows_of_any_kind(spark):
         (0, 1, 0, 1.0), (0, 1, 0, 1.0), (0, 2, 50, 1.0), (0, 2, 50, 1.0), (0, 3, -1, 0.0), (0, 3, -1, 0.0), (50, 1, 0, 1.0), (50, 2, 0, 1.0), (50, 3, -1, 0.0),
     ]
     assert ann.nearest(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_vectors_of_extreme_size(spark):
+    base = np.random.default_rng(5).normal(size=(120, 4))
+    scale = np.where(np.arange(120) % 3 == 0, 1e300, np.where(np.arange(120) % 3 == 1, 1e-300, 1.0))
+    rows = [(int(i), (v * s).tolist(), 0, "x", "x") for i, (v, s) in enumerate(zip(base, scale, strict=True))]
+    rows += [(1000, (base[50] * 1e-305).tolist(), 0, "", "")]
+    found = ann.nearest(spark.createDataFrame(rows, SCHEMA.replace("float", "double"))).collect()
+    got = {q: [(r.vec_id, round(r.score, 9)) for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 50, 100, 1000)}
+    unit = ann.unit(np.vstack((base, base[50:51])))
+    ids = np.append(np.arange(120), 1000)
+    for q, near in got.items():
+        at = int(np.flatnonzero(ids == q)[0])
+        s = unit @ unit[at]
+        s[at] = -9
+        best = np.lexsort((ids, -np.round(s, 9)))[:5]
+        assert [v for v, _ in near] == ids[best].tolist() and np.allclose([x for _, x in near], s[best])
