@@ -54,6 +54,14 @@ def class_sample(rows: DataFrame, label: str, per_class: int, seed: int) -> Data
     return taken.drop("_nth").join(sizes, label)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with as many underscores as it takes to be none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_row_id(df: DataFrame, label: str, name: str = "_row_id") -> DataFrame:
     """Store the rows once with a unique id, so that later passes agree on it."""
     return stored_tightly(df.withColumn(name, F.monotonically_increasing_id()), label)

@@ -133,10 +133,15 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` without later copies of equal texts, all columns unchanged."""
+    """Rows of ``docs`` without later copies of equal texts, all columns unchanged, whatever they are called.
+
+    NULL texts equal empty ones; of equal texts the smallest doc_id stays, NULL ids last; of rows with the same id
+    exactly one stays. Texts are compared whole. An empty table stays empty.
+    """
     common.prepare(docs.sparkSession)
-    rows = common.with_row_id(docs, "exact-texts")
-    narrow, groups = _groups(rows.select("doc_id", "_row_id", normalised().alias("_norm")))
+    row_id = common.unused("_row_id", docs.columns)
+    rows = common.with_row_id(docs, "exact-texts", row_id)
+    narrow, groups = _groups(rows.select("doc_id", F.col(row_id).alias("_row_id"), normalised().alias("_norm")))
     firsts = groups.select("fp", "sha", F.col("least._row_id").alias("_stays"))
-    copies = narrow.join(firsts, ["fp", "sha"]).where("_row_id <> _stays").select("_row_id")
-    return rows.join(copies, "_row_id", "left_anti").select(*docs.columns)
+    copies = narrow.join(firsts, ["fp", "sha"]).where("_row_id <> _stays").select(F.col("_row_id").alias(row_id))
+    return rows.join(copies, row_id, "left_anti").select(*docs.columns)

@@ -97,7 +97,12 @@ def _between(start: F.Column, end: F.Column) -> F.Column:
 
 
 def mix_rows(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
-    """doc_id, _row_id, size, source_size, target, taken for stored rows with ``_row_id``."""
+    """doc_id, _row_id, size, source_size, target, taken, copies for stored rows with ``_row_id``.
+
+    ``copies`` are whole copies that come to ``taken`` by systematic rounding: along a shard the parts of documents that are
+    taken add up, and where the sum passes a whole number (from a seeded offset on) a document is taken once. So a
+    document is taken as often as its part says, however long it is.
+    """
     sized = rows.select(
         "doc_id", "_row_id", "source", words().alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_key")
     )
@@ -111,6 +116,9 @@ def mix_rows(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
         .withColumn("shard", F.pmod(F.xxhash64("_key", F.lit(seed)), shards))
         .drop("_of", "source")
     )
+    # Documents without words take none; they need no place in a shard, which a source may have any number of.
+    empty = placed.where("size = 0").select("doc_id", "_row_id", "size", "source_size", "target", *[F.lit(0).cast("long").alias(c) for c in ("taken", "copies")])
+    placed = placed.where("size > 0")
     cells = placed.groupBy("place", "shard").agg(
         F.sum("size").alias("cell_size"), (F.first("target") * F.sum("size") / F.greatest(F.first("source_size"), F.lit(1))).alias("weight")
     )
@@ -129,7 +137,12 @@ def mix_rows(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     run = _between(F.col("_from") * block, F.least(until * block, F.col("cell_size")))
     wrapped = _between(F.lit(0), F.greatest(until - F.col("_blocks"), F.lit(0)) * block)
     taken = (F.col("_whole") * F.col("size") + run + wrapped).cast("long")
-    return laid.select("doc_id", "_row_id", "size", "source_size", "target", taken.alias("taken"))
+    laid = laid.withColumn("taken", taken).withColumn("_part", F.col("taken") / F.col("size"))
+    offset = F.pmod(F.xxhash64(F.lit(seed), F.lit("offset"), "place", "shard"), F.lit(1 << 20)) / float(1 << 20)
+    upto = F.floor(F.sum("_part").over(order) + offset)
+    earlier = F.floor(F.coalesce(F.sum("_part").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) + offset)
+    counted = laid.withColumn("copies", (upto - earlier).cast("long"))
+    return counted.select("doc_id", "_row_id", "size", "source_size", "target", "taken", "copies").unionByName(empty)
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
@@ -142,19 +155,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
     """
     common.prepare(docs.sparkSession)
     rows = docs.select("doc_id", "source", "text").withColumn("_row_id", F.monotonically_increasing_id())
-    return mix_rows(rows, weights, share, most, seed).drop("_row_id")
+    return mix_rows(rows, weights, share, most, seed).drop("_row_id", "copies")
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
-    """Rows of ``docs`` as often as the mix takes them, all columns unchanged.
+    """Rows of ``docs`` as often as the mix takes them, all columns unchanged, whatever they are called.
 
-    A run of blocks begins and ends inside a document; such a document counts as taken
-    when at least half of it is. Documents without words are not taken.
+    A run of blocks begins and ends inside a document; such a document is taken whole as often as its part in the
+    run says, see ``mix_rows``. Documents without words are not taken. An empty table stays empty.
     """
     common.prepare(docs.sparkSession)
-    rows = common.with_row_id(docs, "mix-rows")
-    taken = mix_rows(rows, weights, share, most, seed)
-    copies = F.round(F.col("taken") / F.col("size")).cast("int")
-    often = taken.where("size > 0").select("_row_id", copies.alias("_copies")).where("_copies > 0")
-    out = rows.join(often, "_row_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
-    return out.select(*docs.columns)
+    row_id, copy = (common.unused(c, docs.columns) for c in ("_row_id", "_copy"))
+    rows = common.with_row_id(docs, "mix-rows", row_id)
+    taken = mix_rows(rows.select("doc_id", "source", "text", F.col(row_id).alias("_row_id")), weights, share, most, seed)
+    often = taken.where("copies > 0").select(F.col("_row_id").alias(row_id), F.sequence(F.lit(1).cast("long"), "copies").alias(copy))
+    return rows.join(often, row_id).withColumn(copy, F.explode(copy)).select(*docs.columns)

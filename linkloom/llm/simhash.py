@@ -201,15 +201,17 @@ def near_duplicates(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
 def keep_one(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     """Rows of ``docs``, one of each linked group: the one with the smallest doc_id.
 
-    Rows without id come last; of rows with the same id the first stored one stays.
+    Rows without id come last; of rows with the same id the first stored one stays. NULL and empty texts have
+    fingerprint zero and are linked like any others. All columns stay as they are, whatever they are called; an empty table stays empty.
     """
     common.prepare(docs.sparkSession)
-    rows = common.with_row_id(docs.withColumn("_simhash", fingerprints("text")), "near-rows")
-    prints = rows.select("doc_id", F.col("_simhash").alias("fp"), "_row_id")
+    row_id, simhash = (common.unused(c, docs.columns) for c in ("_row_id", "_simhash"))
+    rows = common.with_row_id(docs.withColumn(simhash, fingerprints("text")), "near-rows", row_id)
+    prints = rows.select("doc_id", F.col(simhash).alias("fp"), F.col(row_id).alias("_row_id"))
     placed = prints.join(_components_with_null(prints, list_limit), "fp")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row_id"))
     kept = placed.groupBy("_group").agg(first["_row_id"].alias("_row_id"))
-    return rows.join(kept.select("_row_id"), "_row_id", "left_semi").select(*docs.columns)
+    return rows.join(kept.select(F.col("_row_id").alias(row_id)), row_id, "left_semi").select(*docs.columns)
 
 
 def _components_with_null(prints: DataFrame, list_limit: int) -> DataFrame:

@@ -70,3 +70,36 @@ def test_rows_of_any_kind(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).collect() == []
     alone = mixing.mix(spark.createDataFrame([(1, None, None, "", 0)], SCHEMA)).collect()
     assert [tuple(r) for r in alone] == [(1, 0, 0, 0.0, 0)]
+
+
+def test_long_documents_are_kept_in_their_share_of_seeds(spark):
+    # The long one is near half of a source whose target is a sixth of it: no run of blocks covers half of it.
+    rows = [(0, "b", "w " * 9_000, "", 0)] + [(i, "b", "w " * 100, "", 0) for i in range(1, 101)]
+    rows += [(1_000 + i, "a", "w " * 500, "", 0) for i in range(9)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept, part = 0, 0.0
+    for seed in range(12):
+        taken = {r.doc_id: r for r in mixing.mix(docs, weights=(30, 1), share=0.5, seed=seed).collect()}
+        out = [r.doc_id for r in mixing.mixed(docs, weights=(30, 1), share=0.5, seed=seed).collect()]
+        kept, part = kept + out.count(0), part + taken[0].taken / taken[0]["size"]
+        for i, r in taken.items():
+            assert abs(out.count(i) - r.taken / r["size"]) < 1
+        for source in (range(101), range(1_000, 1_009)):
+            whole = sum(taken[i].taken / taken[i]["size"] for i in source)
+            assert abs(sum(out.count(i) for i in source) - whole) < 1 + 1e-9
+    assert part > 0.4 and abs(kept - part) < 3
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    from linkloom.llm import exact, simhash
+
+    names = ["_row_id", "_ROW_ID_", "_simhash", "_copy", "_copies", "_stays", "copies", "fp", "taken"]
+    rows = [(i, "a", f"text number {i} {'w' * i}", *[f"{n}{i}" for n in names]) for i in range(6)]
+    docs = spark.createDataFrame(rows + rows[:2], ["doc_id", "source", "text", *names])
+    for stage in (exact.keep_first, simhash.keep_one):
+        out = stage(docs)
+        assert out.columns == docs.columns and set(map(tuple, out.collect())) <= set(rows)
+    assert sorted(map(tuple, exact.keep_first(docs).collect())) == sorted(rows)
+    assert set(map(tuple, mixing.mixed(docs, share=2.0).collect())) == set(rows)
+    for stage in (exact.keep_first, simhash.keep_one, mixing.mixed):
+        assert stage(docs.where("false")).collect() == []

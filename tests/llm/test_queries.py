@@ -21,8 +21,8 @@ def test_query_matches_sql(spark, sf_small, name):
     assert sorted(map(str, rows)) == sorted(map(str, expected.select(*map(duckdb.ColumnExpression, columns)).fetchall()))
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark, sf_small):
@@ -59,7 +59,8 @@ def test_pipeline(spark, sf_small):
     for r in rows.collect():
         often[r.doc_id] = often.get(r.doc_id, 0) + 1
     assert rows.columns == columns
-    assert often == {d: n for d, (taken, size) in takes.items() if (n := int(taken / size + 0.5))}
+    assert all(abs(often.get(d, 0) - (taken / size if size else 0)) < 1 for d, (taken, size) in takes.items())
+    assert sum(often.values()) == pytest.approx(sum(taken / size for taken, size in takes.values() if size), rel=0.02)
 
     encoded = stages["encoding"](spark, rows, sf_small).collect()
     assert len(encoded) == rows.count() and all(len(r.tokens) == r.n_tokens for r in encoded)
