@@ -39,7 +39,7 @@ END = 0
 #: Code of the context at the beginning of a text; codes of words outside the table have the bit RARE.
 BEGIN, RARE = np.uint64(1 << 62), np.uint64(1 << 63)
 #: Tokens of a chunk and of a part; bytes of text looked at together.
-CHUNK_TOKENS, PART_TOKENS, PIECE_BYTES = 1 << 21, 1 << 20, 1 << 20
+CHUNK_TOKENS, PART_TOKENS, PIECE_BYTES = 1 << 20, 1 << 20, 1 << 20
 #: Rounds before samples are kept, samples, customers up to which the conditional is exact.
 BURN_IN, SAMPLES, EXACT = 2, 3, 64
 STRENGTH, SEED = 1.0, 4
@@ -165,14 +165,21 @@ class Codes:
         self.counts = counts[by_rank]
         self.words, self.ranks = words[by_rank], np.arange(len(words), dtype=np.uint64)
         order = np.argsort(self.words)
-        self.words, self.ranks = self.words[order], self.ranks[order]
+        # One word past the end stops every search; hashes are spread evenly, so their first bits say where to look.
+        self.words = np.append(self.words[order], np.uint64((1 << 64) - 1))
+        self.ranks = np.append(self.ranks[order], RARE)
+        self.bits = max(1, len(words).bit_length())
+        self.starts = np.searchsorted(self.words, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits))
         self.end = self.of(np.array([END], np.uint64))[0]
 
     def of(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return h | RARE
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[at] == h, self.ranks[at], h | RARE)
+        at = self.starts[(h >> np.uint64(64 - self.bits)).astype(np.int64)]
+        behind = np.flatnonzero(self.words[at] < h)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.words[at[behind]] < h[behind]]
+        ranks = self.ranks[at]
+        return np.where((self.words[at] == h) & (ranks != RARE), ranks, h | RARE)
 
 
 def _frequent(words: DataFrame) -> Codes:
@@ -246,13 +253,25 @@ class Deal:
 
 def _pairs(data: bytes, before: int, deal: Deal):
     """Different (part, context, word) of a chunk, sorted, and the number of each token's pair."""
-    codes = _unplaned(data, np.uint64)
-    before = np.array([before], np.int64).view(np.uint64)
-    names, local = np.unique(np.concatenate(([BEGIN], before, codes)), return_inverse=True)
-    context = local[1:-1]
-    context = np.where(names[context] == deal.end, local[0], context)
-    key, at = np.unique(context * len(names) + local[2:], return_inverse=True)
-    u, w = names[key // len(names)], names[key % len(names)]
+    w = np.concatenate((np.array([before], np.int64).view(np.uint64), _unplaned(data, np.uint64)))
+    u = np.where(w[:-1] == deal.end, BEGIN, w[:-1])
+    w = w[1:]
+    # Numbers of 31 bits in the order of the codes: ranks as they are, then the beginning, then the rare words here.
+    rare, size = np.unique(np.append(w[w >= RARE], u[u >= RARE])), 1 << 30
+    names = np.append(BEGIN, rare)
+
+    def numbers(x: np.ndarray) -> np.ndarray:
+        found = x.astype(np.int64)
+        odd = np.flatnonzero(x >= BEGIN)
+        found[odd] = size + np.searchsorted(names, x[odd])
+        return found
+
+    key, at = np.unique(numbers(u) << 31 | numbers(w), return_inverse=True)
+
+    def codes(x: np.ndarray) -> np.ndarray:
+        return np.where(x < size, x, names[np.maximum(x - size, 0)].view(np.int64)).view(np.uint64)
+
+    u, w = codes(key >> 31), codes(key & ((1 << 31) - 1))
     part = deal.part(u, w)
     order = np.argsort(part, kind="stable")
     place = np.empty_like(order)
@@ -284,8 +303,8 @@ class Part:
         self.part, self.refs = row["part"], row["refs"]
         self.u, lengths = _unplaned(row["u"], np.uint64), _unplaned(row["k"])
         self.context = np.repeat(np.arange(len(self.u)), lengths)
-        self.w, self.c = _unplaned(row["w"], np.uint64), _unplaned(row["c"])
-        self.words, self.word = np.unique(self.w, return_inverse=True)
+        self.words, self.word = _unplaned(row["words"], np.uint64), _unplaned(row["word"])
+        self.c = _unplaned(row["c"])
 
     def per_context(self, x: np.ndarray) -> np.ndarray:
         return np.bincount(self.context, x, len(self.u)).astype(np.int64)
@@ -322,7 +341,7 @@ _MESSAGES = [
     ("busy", pa.list_(pa.struct([("u", pa.int64()), ("s", pa.list_(pa.int64()))]))),
 ]
 _SENT = "sent array<struct<share:int,w:binary,s:binary>>, busy array<struct<u:long,s:array<long>>>"
-_ARRAYS = ("u", "k", "w", "c")
+_ARRAYS = ("u", "k", "words", "word", "c")
 _CELLS = f"part int, {', '.join(f'{x} binary' for x in _ARRAYS)}, refs array<struct<chunk:long,at:binary>>, once long, twice long, {_SENT}"
 _CELLS_TYPES = pa.schema([
     ("part", pa.int32()), *[(x, pa.binary()) for x in _ARRAYS], ("refs", _REFS), ("once", pa.int64()), ("twice", pa.int64()), *_MESSAGES,
@@ -349,7 +368,9 @@ def _merged(deal: Deal):
         u, w, c = u[first], w[first], np.add.reduceat(c, first)
         names = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
         row = {"part": rows[0]["part"], "refs": refs, "once": int((c == 1).sum()), "twice": int((c == 2).sum())}
-        row |= {"u": _planes(u[names]), "k": _planes(np.diff(np.append(names, len(u)))), "w": _planes(w), "c": _planes(c)}
+        row |= {"u": _planes(u[names]), "k": _planes(np.diff(np.append(names, len(u)))), "c": _planes(c)}
+        words, word = np.unique(w, return_inverse=True)
+        row |= {"words": _planes(words), "word": _planes(word)}
         return pa.Table.from_pylist([row | Part(row).sent([np.minimum(c, 1)], deal)], _CELLS_TYPES)
 
     return run
@@ -473,9 +494,8 @@ def _shared_contexts(swept: DataFrame) -> dict[int, list[int]]:
 def _others(cells: Part, own: np.ndarray, shared: dict[int, list[int]], column: int) -> np.ndarray:
     """Per context, what the other parts hold of a sum, given this part's own."""
     found = np.zeros(len(cells.u), np.int64)
-    for i, u in enumerate(cells.u.view(np.int64)):
-        if u in shared:
-            found[i] = shared[int(u)][column] - own[i]
+    for i in np.flatnonzero(np.isin(cells.u.view(np.int64), np.array(list(shared), np.int64))):
+        found[i] = shared[int(cells.u.view(np.int64)[i])][column] - own[i]
     return found
 
 
@@ -640,7 +660,7 @@ def _replied(parent: Parent, shared: dict, deal: Deal):
             return pa.Table.from_pylist([], _REPLY_TYPES)
         cells = Part(left.to_pylist()[0])
         p, n = cell_probabilities(cells, right.to_pylist(), parent, shared, deal)
-        logs, n = np.log10(p).astype(np.float32).view(np.uint32).astype(np.uint64), np.where(cells.w >= RARE, n, 0)
+        logs, n = np.log10(p).astype(np.float32).view(np.uint32).astype(np.uint64), np.where(cells.words[cells.word] >= RARE, n, 0)
         replies = []
         for ref in cells.refs:
             at = np.cumsum(_unplaned(ref["at"]))

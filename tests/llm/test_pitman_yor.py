@@ -54,7 +54,7 @@ def test_many_customers_continue_few(mass):
 
 def test_likelihood_of_a_seating():
     """Against the product of the probabilities of seating customers one after the other, all arrangements summed."""
-    planes = {x: lm._planes(np.array(v)) for x, v in {"u": [7, 9], "k": [2, 1], "w": [1, 2, 1], "c": [3, 1, 2]}.items()}
+    planes = {x: lm._planes(np.array(v)) for x, v in {"u": [7, 9], "k": [2, 1], "words": [1, 2], "word": [0, 1, 0], "c": [3, 1, 2]}.items()}
     cells = lm.Part({"part": 0, "refs": [], **planes})
     deal = lm.Deal(lm.Codes(np.empty(0, np.uint64), np.empty(0, np.int64)), 1, 6)
     parent = lm.Parent(5, (0.5, 0.5), 2.0, [1], [1])
@@ -129,7 +129,7 @@ def test_scores_follow_from_the_seating(spark, monkeypatch, sizes):
         for i, u in enumerate(part.u.tolist()):
             opened[u] = opened.get(u, 0) + by[:, i]
         for k, u in enumerate(part.u[part.context].tolist()):
-            key = u, int(part.w[k])
+            key = u, int(part.words[part.word[k]])
             assert key not in customers
             customers[key], swept[key] = int(part.c[k]), int(t[k])
             assert (part.c[k] > 0) <= (t[k] >= lm.SAMPLES) and t[k] <= lm.SAMPLES * part.c[k]
