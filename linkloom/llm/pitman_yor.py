@@ -39,7 +39,7 @@ END = 0
 #: Code of the context at the beginning of a text; codes of words outside the table have the bit RARE.
 BEGIN, RARE = np.uint64(1 << 62), np.uint64(1 << 63)
 #: Tokens of a chunk and of a part; bytes of text looked at together.
-CHUNK_TOKENS, PART_TOKENS, PIECE_BYTES = 1 << 20, 1 << 20, 1 << 20
+CHUNK_TOKENS, PART_TOKENS, PIECE_BYTES = 1 << 20, 1 << 19, 1 << 20
 #: Rounds before samples are kept, samples, customers up to which the conditional is exact.
 BURN_IN, SAMPLES, EXACT = 2, 3, 64
 STRENGTH, SEED = 1.0, 4
@@ -238,7 +238,8 @@ class Deal:
     """Where pairs and words belong: parts of pairs, contexts dealt by word as well, shares of the parent."""
 
     def __init__(self, codes: Codes, parts: int, n_tokens: int):
-        self.parts, self.end = parts, codes.end
+        # A share answers for some words to all parts: sixteen parts send about as many words as one task holds well.
+        self.parts, self.shares, self.end = parts, max(8, parts // 16), codes.end
         busy = np.flatnonzero(codes.counts > max(1, n_tokens // (4 * parts))).astype(np.uint64)
         # The beginning of a text is as frequent as its end.
         self.busy = np.append(busy, BEGIN) if self.end in busy else busy
@@ -248,7 +249,7 @@ class Deal:
         return (_mixed(key) % np.uint64(self.parts)).astype(np.int64)
 
     def share(self, w: np.ndarray) -> np.ndarray:
-        return (_mixed(w + np.uint64(1)) % np.uint64(self.parts)).astype(np.int64)
+        return (_mixed(w + np.uint64(1)) % np.uint64(self.shares)).astype(np.int64)
 
 
 def _pairs(data: bytes, before: int, deal: Deal):
@@ -354,9 +355,11 @@ def _merged(deal: Deal):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         u, w, c = (np.concatenate([_unplaned(r[x], kind) for r in rows]) for x, kind in (("u", np.uint64), ("w", np.uint64), ("c", np.int64)))
-        order = np.lexsort((w, u))
-        u, w, c = u[order], w[order], c[order]
-        new = np.concatenate(([True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])))
+        contexts, words = np.unique(u), np.unique(w)
+        key = np.searchsorted(contexts, u) << 32 | np.searchsorted(words, w)
+        order = np.argsort(key)
+        key, c = key[order], c[order]
+        new = np.concatenate(([True], key[1:] != key[:-1]))
         first = np.flatnonzero(new)
         place = np.empty_like(order)
         place[order] = np.cumsum(new) - 1
@@ -365,12 +368,9 @@ def _merged(deal: Deal):
             n = len(r["u"]) // 8
             refs.append({"chunk": r["chunk"], "at": _planes(np.diff(place[at : at + n], prepend=0))})
             at += n
-        u, w, c = u[first], w[first], np.add.reduceat(c, first)
-        names = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
+        key, c = key[first], np.add.reduceat(c, first)
         row = {"part": rows[0]["part"], "refs": refs, "once": int((c == 1).sum()), "twice": int((c == 2).sum())}
-        row |= {"u": _planes(u[names]), "k": _planes(np.diff(np.append(names, len(u)))), "c": _planes(c)}
-        words, word = np.unique(w, return_inverse=True)
-        row |= {"words": _planes(words), "word": _planes(word)}
+        row |= {"u": _planes(contexts), "k": _planes(np.bincount(key >> 32)), "words": _planes(words), "word": _planes(key & 0xFFFFFFFF), "c": _planes(c)}
         return pa.Table.from_pylist([row | Part(row).sent([np.minimum(c, 1)], deal)], _CELLS_TYPES)
 
     return run
