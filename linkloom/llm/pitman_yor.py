@@ -121,12 +121,24 @@ def tokens(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _planes(x: np.ndarray) -> bytes:
-    """64-bit numbers byte by byte, so that small ones cost little once compressed."""
-    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Numbers byte by byte, without the bytes that are zero in all of them; codes from BEGIN on follow whole."""
+    x = np.ascontiguousarray(x).ravel().view(np.uint64)
+    odd = x >= BEGIN
+    low = np.where(odd, np.uint64(0), x + np.uint64(1))
+    width = (int(low.max()).bit_length() + 7) // 8 if len(low) else 0
+    head = np.array([len(x), width], np.int64).tobytes()
+    return head + low.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes() + x[odd].tobytes()
 
 
 def _unplaned(data: bytes, kind: type = np.int64) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(kind).ravel()
+    n, width = np.frombuffer(data, np.int64, 2).tolist()
+    x = np.zeros((n, 8), np.uint8)
+    x[:, :width] = np.frombuffer(data, np.uint8, n * width, 16).reshape(width, n).T
+    x = x.view(np.uint64).ravel()
+    odd = x == 0
+    x -= np.uint64(1)
+    x[odd] = np.frombuffer(data[16 + n * width :], np.uint64)
+    return x.view(kind)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -354,7 +366,9 @@ def _merged(deal: Deal):
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        u, w, c = (np.concatenate([_unplaned(r[x], kind) for r in rows]) for x, kind in (("u", np.uint64), ("w", np.uint64), ("c", np.int64)))
+        lists = [[_unplaned(r[x], kind) for r in rows] for x, kind in (("u", np.uint64), ("w", np.uint64), ("c", np.int64))]
+        sizes = [len(x) for x in lists[0]]
+        u, w, c = map(np.concatenate, lists)
         contexts, words = np.unique(u), np.unique(w)
         key = np.searchsorted(contexts, u) << 32 | np.searchsorted(words, w)
         order = np.argsort(key)
@@ -364,8 +378,7 @@ def _merged(deal: Deal):
         place = np.empty_like(order)
         place[order] = np.cumsum(new) - 1
         refs, at = [], 0
-        for r in rows:
-            n = len(r["u"]) // 8
+        for r, n in zip(rows, sizes, strict=True):
             refs.append({"chunk": r["chunk"], "at": _planes(np.diff(place[at : at + n], prepend=0))})
             at += n
         key, c = key[first], np.add.reduceat(c, first)

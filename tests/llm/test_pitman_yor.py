@@ -27,6 +27,13 @@ def test_tokens(monkeypatch, piece):
     assert len(names) == len(set(names.values())) and names[lm.END] == b"</s>"
 
 
+@pytest.mark.parametrize("x", [[], [0], [0, 0, 255, 256], [1 << 62, 3, (1 << 63) + 5, (1 << 64) - 1, 0, 1 << 61]])
+def test_numbers_in_planes(x):
+    x = np.array(x, np.uint64)
+    assert lm._unplaned(lm._planes(x), np.uint64).tolist() == x.tolist()
+    assert len(lm._planes(np.full(1000, 7))) == 1016
+
+
 def test_table_counts_follow_the_conditional():
     """Against the distribution found by listing all seatings of a few customers."""
     d, mass, c = 0.4, 0.7, 6
